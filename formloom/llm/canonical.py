@@ -16,9 +16,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from formloom.functions.text import blank, fold, words
+from formloom.functions.text import blank, fold
+from formloom.session import cut
 
 UNMATCHED = "UNMATCHED"
 #: The reference list is broadcast only up to this many forms; beyond it the joins shuffle.
@@ -156,6 +156,7 @@ def match_values(values: DataFrame, text: str, forms: DataFrame, broadcast_forms
         .withColumn("clean", F.when(blank(F.col("clean")), F.trim("text")).otherwise(F.col("clean")))
         .withColumn("nkey", name_key(F.col("clean")))
     )
+    names = cut(names, "names")  # read by every join below
     f = forms.select("ref_key", "fkey")
     exact = names.join(hint(f), F.col("nkey") == F.col("fkey")).select("text", "ref_key", F.lit(0).alias("cost"))
     turned = names.join(
@@ -169,13 +170,13 @@ def match_values(values: DataFrame, text: str, forms: DataFrame, broadcast_forms
         return F.array_join(F.transform(F.split(F.col(c), " "), lambda x: F.substring(x, 1, 2)), " ")
 
     # shortened words: every full stop ends a beginning of the word in the same place
-    cut = names.where(F.col("text").rlike(r"(?U)\w{2,}\.(?:\s|$)")).withColumn(
+    short = names.where(F.col("text").rlike(r"(?U)\w{2,}\.(?:\s|$)")).withColumn(
         "parts", F.filter(F.split(F.regexp_replace(fold(F.col("clean")), r"[^a-z0-9. ]", " "), r"\s+"), lambda x: x != "")
     )
     # `bare` may have taken the last stop of several; a last word counts as shortened where the text ends in one stop
-    cut = cut.withColumn("stem", F.array_join(F.transform("parts", lambda x: F.substring(F.replace(x, F.lit("."), F.lit("")), 1, 2)), " "))
+    short = short.withColumn("stem", F.array_join(F.transform("parts", lambda x: F.substring(F.replace(x, F.lit("."), F.lit("")), 1, 2)), " "))
     begun = (
-        cut.join(hint(f.withColumn("stem", stems("fkey"))), "stem")
+        short.join(hint(f.withColumn("stem", stems("fkey"))), "stem")
         .where(
             F.forall(
                 F.zip_with("parts", F.split("fkey", " "), lambda a, b: F.when(a.endswith("."), b.startswith(F.regexp_replace(a, r"\.", ""))).otherwise(a == b)),
