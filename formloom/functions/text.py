@@ -6,15 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Latin letters with marks and the plain letters they stand for, by position.
-MARKED = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿαβγμ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyabgu"
+MARKED = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿ"
+PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+GREEK, LATIN = "αβγμµ", "abguu"
 
 
-def fold(c: Column) -> Column:
-    """Lower case without accents; ligatures spelled out. Null stays null."""
+def fold(c: Column, greek: bool = True) -> Column:
+    """Lower case without accents; ligatures spelled out, Greek letters of units and names as Latin. Null stays null."""
     low = F.lower(c)
     low = F.replace(F.replace(low, F.lit("œ"), F.lit("oe")), F.lit("æ"), F.lit("ae"))
-    return F.translate(low, MARKED + "µ", PLAIN + "u")
+    return F.translate(low, MARKED + GREEK, PLAIN + LATIN) if greek else F.translate(low, MARKED, PLAIN)
 
 
 def blank(c: Column) -> Column:
