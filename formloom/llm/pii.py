@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 #: Largest number of ordinary words kept: the size of the model, fitted on all documents.
 ORDINARY_WORDS = 60_000
+#: A name runs on over a line end only where the line is long enough to be a wrapped one.
+WRAPPED = 40
 
 # --- fixed values ---------------------------------------------------------------------------------
 LOOKALIKE = str.maketrans(
@@ -36,7 +38,7 @@ LOOKALIKE = str.maketrans(
     "ABEKMHOPCTXaeopcyxiisjABEZHIKMNOPTYXoiiA0123456789@.t---      ",
 )
 GIVEN = frozenset(
-    """agathe aicha alice anne anne-sophie antoine apolline arjun bastien benedicte camille celine charles charlotte claire corentin
+    """adam agathe aicha alice amy anne anne-sophie antoine apolline arjun bastien ben benedicte beth camille celine charles charlotte claire corentin
     cyril damien daniel david duncan edward elise elizabeth emily emma eric fanny fiona firmin florence francois gareth gaspard
     george gillian hazel helene henri hugo imogen ines isabelle jack james jane jean jean-luc jean-marc jean-pierre joan john joseph
     julie julien karim laura laurent leila lea loic louis louise lucas lucie maelle marc marie marie-laure martin mary mathieu michael
@@ -46,7 +48,7 @@ GIVEN = frozenset(
 )
 TITLES = r"(?:Dr|Docteur|Docteure|Doctor|Pr|Prof|Professeur|Professor|Mme|Mlle|Madame|Mademoiselle|Monsieur|MM|Mr|Mrs|Ms|Miss|Sir|Nurse|Sister)"
 CUES = (
-    r"(?:[Pp]atiente?|PATIENTE?|[Ss]ign[ée]e?|[Ss]igned(?: by)?|[Nn]om(?: de naissance| d'usage)?|NOM|[Pp]r[ée]noms?|[Nn]ame|[Ss]urname|[Ff]orename|[Cc]ontact|[Pp]ersonne de confiance"
+    r"(?:[Pp]atiente?|PATIENTE?|[Ss]ign[ée]e?(?=\s*:)|[Ss]igned(?: by)?|[Nn]om(?: de naissance| d'usage)?|NOM|[Pp]r[ée]noms?|[Nn]ame|[Ss]urname|[Ff]orename|[Cc]ontact|[Pp]ersonne de confiance"
     r"|[Nn]ext of kin|[Aa]ppel de|[Pp]our|[Ff]or|fr[èe]re de|s[oœ]eur de|[Bb]rother of|[Ss]ister of|sign[ée]e? par|signed by|organis[ée]e? par|[Dd]ict[ée]e? par|[Dd]ictated by"
     r"|[Rr]elue? par|[Rr]eviewed by|[Rr]ead by|[Vv]u par|[Ss]een by|[Ss]een with|fils du patient,|fille du patient,|conjointe?,|[Cc]opie|[Cc]opies|[Mm][ée]decin traitant|[Gg]eneral practitioner"
     r"|[Ii]nfirmi[èe]re?|[Ii]nfirmier|demander|communiqu[ée] [àa]|adress[ée] au?|copied to)"
@@ -156,7 +158,7 @@ ADDRESS = re.compile(
 _LET = r"[a-zà-öø-ÿ'’0-9\\/]"
 _TOK = re.compile(
     r"(?P<p>(?:de\sla|DE\sLA|De\sla|du|DU|de|DE)(?=\s[A-ZÀ-ÖØ-Þ])|(?<!\w)d['’](?=[A-ZÀ-ÖØ-Þ]))"
-    rf"|(?P<i>[A-ZÀ-ÖØ-Þ]\.(?:-[A-ZÀ-ÖØ-Þ]\.)*|[A-ZÀ-ÖØ-Þ](?![\w.'’\-]))|(?P<w>(?:[A-ZÀ-ÖØ-Þ]{_LET}+|[A-ZÀ-ÖØ-Þ0-9]{{2,}}(?<![0-9]))(?:-(?:[A-ZÀ-ÖØ-Þ]{_LET}+|[A-ZÀ-ÖØ-Þ]{{2,}}))*)(?![\w])"
+    rf"|(?<![\w/])(?P<i>[A-ZÀ-ÖØ-Þ]\.(?:-[A-ZÀ-ÖØ-Þ]\.)*|[A-ZÀ-ÖØ-Þ](?![\w.'’\-]))|(?P<w>(?:[A-ZÀ-ÖØ-Þ]{_LET}+|[A-ZÀ-ÖØ-Þ][A-ZÀ-ÖØ-Þ0-9]+(?<![0-9]))(?:-(?:[A-ZÀ-ÖØ-Þ]{_LET}+|[A-ZÀ-ÖØ-Þ]{{2,}}))*)(?![\w@†])"
 )
 _ARTICLE = frozenset(("Le", "LE", "La", "LA"))
 _TITLE_END = re.compile(rf"(?:\b{TITLES}\.?|(?<![\w.])M\.)\s+$")
@@ -269,7 +271,7 @@ def _persons(s: str, busy: bytearray, ordinary) -> Iterator[tuple[int, int]]:
         kind = m.lastgroup
         tok = m[0]
         gap = s[last:a] if last >= 0 else None
-        joined = gap is not None and (gap == " " or gap == "  " or re.fullmatch(r" ?\r?\n[ \t]*", gap) is not None or gap == "" and chain and chain[-1][3].endswith(("'", "’")))
+        joined = gap is not None and (gap == " " or gap == "  " or re.fullmatch(r" ?\r?\n[ \t]*", gap) is not None and last - s.rfind("\n", 0, last) > WRAPPED or gap == "" and chain and chain[-1][3].endswith(("'", "’")))
         if kind == "w":
             if tok in _ARTICLE:
                 nxt = _TOK.match(s, b + 1) if b + 1 < len(s) and s[b] in " \n" else None

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 #: Share of the letters of a document that phrases must cover.
 COVERAGE = 0.5
+#: How many words of its sentence a phrase speaks for at most.
+SPEAKS_FOR = 25
 
 #: Phrases of error pages, script notices and filler, folded (fixed values, two languages).
 ERROR = (
@@ -127,10 +129,12 @@ def judge(text: str | None, coverage: float = COVERAGE) -> tuple[str | None, flo
     for m in _SENT.finditer(low):
         a, b = m.span()
         size = len(_TOKEN.findall(m[0]))
-        kinds = set()
+        kinds: set[str] = set()
+        at = []
         while k < len(hits) and hits[k][0] < b:
             if hits[k][0] >= a:
                 kinds.add(hits[k][2])
+                at.append(hits[k][0])
             k += 1
         if "mention" in kinds:
             total += size
@@ -138,9 +142,10 @@ def judge(text: str | None, coverage: float = COVERAGE) -> tuple[str | None, flo
         kinds.discard("cue")
         ws = _WORD.findall(m[0])
         if ws and sum(w in FILLER_WORDS for w in ws) * 2 >= len(ws):
-            kinds.add("filler")
+            kinds, at = {"filler"}, []
         if kinds:
-            covered["filler" if "filler" in kinds else "script" if "script" in kinds else "error"] += size
+            own = size if "filler" in kinds and not at else min(size, SPEAKS_FOR * max(len(at), 1))
+            covered["filler" if "filler" in kinds else "script" if "script" in kinds else "error"] += own
             total += size
         elif (size > 4 or re.search(r"\d", m[0])) and "|" not in m[0] and "·" not in m[0] and not m[0].strip().startswith("version"):
             total += size  # all else: headings and menu entries

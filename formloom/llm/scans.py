@@ -456,7 +456,7 @@ def noise(docs: DataFrame, lines: DataFrame) -> DataFrame:
     schema = f"record_kind string, record_id string, document_id string, text string, items {kind}"
     scanned = docs.where("page_scan is null or page_scan").where("full_text is not null").select("document_id", "full_text")
     of_docs = cut(scanned.mapInPandas(documents, schema), "pages")
-    heads = of_docs.select("document_id", F.transform(F.filter("items", lambda x: x["noise_kind"] == "running_header"), lambda x: x["item"]).alias("heads"))
+    heads = of_docs.groupBy("document_id").agg(F.first("items").alias("items")).select("document_id", F.transform(F.filter("items", lambda x: x["noise_kind"] == "running_header"), lambda x: x["item"]).alias("heads"))
 
     def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(shared.value[0])
@@ -467,7 +467,10 @@ def noise(docs: DataFrame, lines: DataFrame) -> DataFrame:
                 rows.append(("lab_line", str(i), d, fixed, [{"noise_kind": k, "item": v} for k, v in dict.fromkeys(items)]))
             yield pd.DataFrame(rows, columns=["record_kind", "record_id", "document_id", "text", "items"])
 
-    of_lines = lines.where("raw_text is not null and raw_text <> ''").select("line_id", "document_id", "raw_text").join(heads, "document_id").mapInPandas(rows_of, schema)
+    # lines of documents known not to be scanned are left alone; those of unknown documents are read
+    plain = docs.where("page_scan = false").select("document_id").distinct()
+    read_lines = lines.where("raw_text is not null and raw_text <> ''").select("line_id", "document_id", "raw_text").join(plain, "document_id", "left_anti")
+    of_lines = read_lines.join(heads, "document_id", "left").mapInPandas(rows_of, schema)
     return of_docs.unionAll(of_lines)
 
 

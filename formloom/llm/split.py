@@ -50,6 +50,9 @@ def cores(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
     def room(start: int) -> int:
         return limit if start == 0 else limit - overlap
 
+    def heading(a: int, b: int) -> bool:
+        return b - a < 100 and bool(_HEAD.fullmatch(text[a:b].strip()))
+
     def pack(a: int, b: int, level: int) -> None:
         if b - a <= room(a) or level > len(_LEVELS):
             while a < b:  # a leaf larger than the limit has no boundary inside: cut it
@@ -63,8 +66,8 @@ def cores(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
             return
         run: tuple[int, int] | None = None
         for x, y in kids:
-            if run and y - run[0] <= room(run[0]):
-                run = (run[0], y)
+            if run and (y - run[0] <= room(run[0]) or heading(*run)):
+                run = (run[0], y)  # a heading goes with what it heads, however large
                 continue
             if run:
                 pack(*run, level + 1)
@@ -76,7 +79,7 @@ def cores(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
     # a merge across subtrees: neighbours that fit together are one piece
     merged: list[tuple[int, int]] = []
     for a, b in out:
-        if merged and b - merged[-1][0] <= room(merged[-1][0]):
+        if merged and b - merged[-1][0] <= room(merged[-1][0]) and not (b < len(text) and heading(a, b)):
             merged[-1] = (merged[-1][0], b)
         else:
             merged.append((a, b))
