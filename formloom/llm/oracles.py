@@ -53,3 +53,58 @@ SELECT patient_id, study_id, field AS field_name, count(*) AS n_rows,
   CASE WHEN count(event_date) > 0 THEN {_best('event_date', 'event_date IS NOT NULL')} END AS event_date
 FROM trusted WHERE patient_id IS NOT NULL AND study_id IS NOT NULL GROUP BY patient_id, study_id, field
 """
+
+# --- problem 3: every distinct text against every form, no segments ---------------------------------
+_ACC = "translate(replace(replace(lower({0}), 'œ', 'oe'), 'æ', 'ae'), 'àâäáãåçéèêëíìîïñóòôöõúùûüýÿαβγμµ', 'aaaaaaceeeeiiiinooooouuuuyyabguu')"
+
+
+def _key(c: str) -> str:
+    f = f"translate(replace({_ACC.format(c)}, '\\/', 'v'), '@†', 'at')"
+    return (
+        f"CASE WHEN regexp_matches({f}, '^\\s*(?:[a-z0-9]\\.){{2,}}[a-z0-9]?\\s*$') THEN regexp_replace({f}, '[^a-z0-9]', '', 'g') "
+        f"ELSE trim(regexp_replace({f}, '[^a-z0-9]+', ' ', 'g'), ' ') END"
+    )
+
+
+_BARE = "regexp_replace({0}, '[\\s\\x{{a0}}\\x{{202f}}]+', ' ', 'g')"
+_BARE = f"regexp_replace({_BARE}, '(?i)\\s*[\\(\\[][^\\(\\)\\[\\]]*[\\)\\]]\\s*$', '', 'g')"
+_BARE = f"regexp_replace({_BARE}, '(?i)\\s+(?:[-–—;:]\\s+.*|[àa]\\s+j[0-9]+\\s*)$', '', 'g')"
+_BARE = f"trim(regexp_replace({_BARE}, '\\s*(?:[*:;,…]+|\\.{{{{2,}}}}|\\s\\.)\\s*$', '', 'g'), ' ')"
+
+
+def _shape(k: str) -> str:
+    return f"translate(replace(replace(replace(replace(replace(replace({k}, ' ', ''), 'rn', 'm'), 'ri', 'n'), 'ii', 'u'), 'li', 'h'), 'vv', 'w'), '01l5@†9q', 'oiisatgg')"
+
+
+def _letters(c: str) -> str:
+    return f"list_aggregate(list_sort(string_split({c}, '')), 'string_agg', '')"
+
+
+_SORTED = "list_aggregate(list_sort(string_split({0}, ' ')), 'string_agg', ' ')"
+
+_P3 = f"""
+decided AS (SELECT line_id, CASE WHEN NOT regexp_full_match(coalesce(name, ''), '[\\s\\x{{a0}}]*') THEN name WHEN NOT regexp_full_match(coalesce(canonical_name, ''), '[\\s\\x{{a0}}]*') THEN canonical_name END AS t FROM lab_lines),
+listed AS (SELECT canonical_key AS ref_key, unnest(list_concat([canonical_key, label_fr, label_en], aliases)) AS form FROM analyte_ref),
+f AS (SELECT DISTINCT ref_key, {_key('form')} AS fkey FROM listed),
+n AS (SELECT t, c, {_key('c')} AS nkey FROM (SELECT DISTINCT t, {_BARE.format('t')} AS c FROM decided WHERE t IS NOT NULL)),
+pairs AS (
+  SELECT t, ref_key, 0 AS cost FROM n JOIN f ON nkey = fkey
+  UNION ALL SELECT t, ref_key, 1 FROM n JOIN f ON {_SORTED.format('nkey')} = {_SORTED.format('fkey')}
+  UNION ALL SELECT t, ref_key, 2 FROM n JOIN f ON {_shape('nkey')} = {_shape('fkey')}
+  UNION ALL SELECT t, ref_key, 3 FROM (
+    SELECT t, ref_key, list_filter(string_split_regex(regexp_replace({_ACC.format('c')}, '[^a-z0-9. ]', ' ', 'g'), '\\s+'), lambda x: x <> '') AS w, string_split(fkey, ' ') AS g FROM n, f WHERE regexp_matches(t, '[\\pL\\pN_]{{2,}}\\.(?:\\s|$)'))
+    WHERE len(w) = len(g) AND len(list_filter(range(1, len(w) + 1), lambda i: CASE WHEN ends_with(w[i], '.') THEN starts_with(g[i], replace(w[i], '.', '')) ELSE w[i] = g[i] END)) = len(w)
+      AND len(list_filter(range(1, len(w) + 1), lambda i: substring(replace(w[i], '.', ''), 1, 2) = substring(g[i], 1, 2))) = len(w)),
+near AS (
+  SELECT t, ref_key, CASE WHEN lev >= 4 AND bag = 0 THEN lev - 2 WHEN lev = 3 AND bag <= 2 THEN 2 WHEN lev = 2 AND bag = 0 THEN 1 ELSE lev END AS dist, lev, k FROM (
+    SELECT t, ref_key, levenshtein(nkey, fkey) AS lev, CASE WHEN levenshtein(nkey, fkey) > 1 THEN levenshtein({_letters('nkey')}, {_letters('fkey')}) ELSE 0 END AS bag,
+      CASE WHEN length(fkey) >= 6 THEN 2 WHEN length(fkey) >= 4 THEN 1 ELSE 0 END AS k
+    FROM n, f WHERE length(nkey) BETWEEN 3 AND 200 AND length(fkey) >= 4 AND abs(length(nkey) - length(fkey)) <= 2)
+  WHERE lev <= 2 * k),
+every AS (SELECT * FROM pairs UNION ALL SELECT t, ref_key, 10 + dist * 10 + lev FROM near WHERE dist <= k),
+best AS (SELECT t, ref_key, min(cost) AS cost FROM every GROUP BY ALL),
+chosen AS (SELECT t, arg_min(ref_key, cost) AS ref_key FROM best GROUP BY t HAVING len(list(cost)) = 1 OR list_sort(list(cost))[1] < list_sort(list(cost))[2])
+"""
+
+SQL["p3_mapped"] = f"WITH {_P3} SELECT line_id, CASE WHEN t IS NULL THEN NULL ELSE coalesce(ref_key, 'UNMATCHED') END AS ref_key FROM decided LEFT JOIN chosen USING (t)"
+SQL["p3_found"] = f"WITH {_P3} SELECT line_id, coalesce(ref_key, 'UNMATCHED') AS canonical_key FROM decided LEFT JOIN chosen USING (t) WHERE t IS NOT NULL AND t NOT IN (SELECT form FROM listed)"
