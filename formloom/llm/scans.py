@@ -437,8 +437,11 @@ def lexicon(docs: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
     return frozenset(r["word"] for r in w), frozenset(r["word"][1:] for r in x)
 
 
-def noise(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(record_kind, record_id, text, items) of every scanned document and lab line; document_id keeps the link."""
+def noise(docs: DataFrame, lines: DataFrame, with_text: bool = True) -> DataFrame:
+    """(record_kind, record_id, text, items) of every scanned document and lab line; document_id keeps the link.
+
+    with_text=False leaves the repaired text out, so nothing but the items is written or moved.
+    """
     words, known = lexicon(docs)
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((words, known))  # bounded by LEXICON_WORDS and LEXICON_LINES
@@ -450,7 +453,7 @@ def noise(docs: DataFrame, lines: DataFrame) -> DataFrame:
             rows = []
             for i, t in zip(pdf["document_id"], pdf["full_text"]):
                 fixed, items = read(t, reader, shared.value[1])
-                rows.append(("parsed_document", i, i, fixed, [{"noise_kind": k, "item": v} for k, v in dict.fromkeys(items)]))
+                rows.append(("parsed_document", i, i, fixed if with_text else None, [{"noise_kind": k, "item": v} for k, v in dict.fromkeys(items)]))
             yield pd.DataFrame(rows, columns=["record_kind", "record_id", "document_id", "text", "items"])
 
     schema = f"record_kind string, record_id string, document_id string, text string, items {kind}"
@@ -464,7 +467,7 @@ def noise(docs: DataFrame, lines: DataFrame) -> DataFrame:
             rows = []
             for i, d, t, h in zip(pdf["line_id"], pdf["document_id"], pdf["raw_text"], pdf["heads"]):
                 fixed, items = read(t, reader, shared.value[1], list(h) if h is not None else [], line_record=True)
-                rows.append(("lab_line", str(i), d, fixed, [{"noise_kind": k, "item": v} for k, v in dict.fromkeys(items)]))
+                rows.append(("lab_line", str(i), d, fixed if with_text else None, [{"noise_kind": k, "item": v} for k, v in dict.fromkeys(items)]))
             yield pd.DataFrame(rows, columns=["record_kind", "record_id", "document_id", "text", "items"])
 
     # lines of documents known not to be scanned are left alone; those of unknown documents are read
@@ -475,7 +478,7 @@ def noise(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def p2_found(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    n = noise(docs, lines).select("record_kind", "record_id", "document_id", F.explode("items").alias("i"))
+    n = noise(docs, lines, with_text=False).select("record_kind", "record_id", "document_id", F.explode("items").alias("i"))
     both = F.array(F.struct("record_kind", "record_id"), F.struct(F.lit("parsed_document").alias("record_kind"), F.col("document_id").alias("record_id")))
     return n.select(F.explode(F.array_distinct(both)).alias("r"), "i").select("r.record_kind", "r.record_id", "i.noise_kind", "i.item").distinct()
 
