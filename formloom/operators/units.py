@@ -37,6 +37,21 @@ UNIT_TEXT = (
 PAIR = rf"(?<![\w.,])({SCANNED})[{BLANKS}\t]?({UNIT_TEXT})(?![\w³/^])"
 
 
+#: Spellings and what they become, in this order (fixed values).
+SPELLINGS = (
+    (r"^(?:x)?10[\^*](\d+)/", "10^$1/"),
+    (r"^(?:cell(?:ules?|s)?|elements|par)/?mm3$", "/mm3"),
+    (r"milligrammes?", "mg"), (r"grammes?", "g"), (r"^gr([/.])", "g$1"),
+    (r"millim(?:etres?|\.)$", "mm"), (r"centim(?:etres?|\.)$", "cm"), (r"decim(?:etres?|\.)$", "dm"),
+    (r"^([mcd]m)\.$", "$1"),
+    (r"^milli(mol)", "m$1"), (r"^(?:micro|mc)(mol|kat|g)", "u$1"), (r"^nano(mol|kat|g)", "n$1"), (r"^pico(mol|g)", "p$1"),
+    (r"^giga", "g"), (r"^tera", "t"), (r"litre$", "l"), (r"\.([dm]?l)-1$", "/$1"), (r"/100ml$", "/dl"), (r"^mg%$", "mg/dl"),
+    (r"^([munk]?)(?:ui|iu)/", "$1u/"),
+    (r"^(?:pourcent|p\.cent)$", "%"), (r"^(?:ratio|1)$", "1"), (r"^sec(?:ondes)?$", "s"), (r"^um3$", "fl"), (r"^pg/cellule$", "pg"),
+    (r"^mm(?:/1?h|premiereheure)$", "mm/h"),
+)
+
+
 def _double(c: Column) -> Column:
     return F.replace(F.regexp_replace(c, f"[{BLANKS}]", ""), F.lit(","), F.lit(".")).try_cast("double")
 
@@ -58,18 +73,7 @@ def unit_key(c: Column) -> Column:
     raw = F.trim(F.regexp_replace(c, f"[{BLANKS}]", " "))
     molar = F.when(raw.rlike(r"^[mnpµμ]M$"), F.concat(F.translate(F.substring(raw, 1, 1), "µμ", "uu"), F.lit("mol/l")))
     k = F.regexp_replace(fold(F.replace(raw, F.lit("³"), F.lit("3"))), r"\s+", "")
-    for a, b in (
-        (r"^(?:x)?10[\^*](\d+)/", "10^$1/"),
-        (r"^(?:cell(?:ules?|s)?|elements|par)/?mm3$", "/mm3"),
-        (r"milligrammes?", "mg"), (r"grammes?", "g"), (r"^gr(?=[/.])", "g"),
-        (r"millim(?:etres?|\.)$", "mm"), (r"centim(?:etres?|\.)$", "cm"), (r"decim(?:etres?|\.)$", "dm"),
-        (r"^([mcd]m)\.$", "$1"),
-        (r"^milli(?=mol)", "m"), (r"^(?:micro|mc)(?=mol|kat|g)", "u"), (r"^nano(?=mol|kat|g)", "n"), (r"^pico(?=mol|g)", "p"),
-        (r"^giga", "g"), (r"^tera", "t"), (r"litre$", "l"), (r"\.([dm]?l)-1$", "/$1"), (r"/100ml$", "/dl"), (r"^mg%$", "mg/dl"),
-        (r"^([munk]?)(?:ui|iu)(?=/)", "$1u"),
-        (r"^(?:pourcent|p\.cent)$", "%"), (r"^(?:ratio|1)$", "1"), (r"^sec(?:ondes)?$", "s"), (r"^um3$", "fl"), (r"^pg/cellule$", "pg"),
-        (r"^mm(?:/1?h|premiereheure)$", "mm/h"),
-    ):
+    for a, b in SPELLINGS:
         k = F.regexp_replace(k, a, b)
     return F.coalesce(molar, k)
 

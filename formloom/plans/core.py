@@ -27,3 +27,49 @@ def p4_common(spark, d):
     a = lines.select(F.lit("lab_line").alias("record_kind"), F.col("line_id").cast("string").alias("record_id"), F.col("analyte").alias("canonical_key"), *cols)
     b = obs.select(F.lit("observation").alias("record_kind"), F.col("observation_id").alias("record_id"), "canonical_key", *cols)
     return a.unionAll(b).where("number is not null")
+
+
+def _observation_sql() -> str:
+    """The same sums in DuckDB: units by their spelling rules, numbers and pairs by its own regular expressions."""
+    import math
+
+    from formloom.operators.units import BLANKS, NUMBER, SPELLINGS
+
+    number = NUMBER.replace("'", "''")
+
+    def key(c: str) -> str:
+        raw = f"trim(regexp_replace({c}, '[{BLANKS}]', ' ', 'g'), ' ')"
+        k = f"regexp_replace(translate(lower(replace({raw}, '³', '3')), 'àâäáãåçéèêëíìîïñóòôöõúùûüýÿαβγμµ', 'aaaaaaceeeeiiiinooooouuuuyyabguu'), '\\s+', '', 'g')"
+        for a, b in SPELLINGS:
+            k = f"regexp_replace({k}, '{a}', '{b.replace('$1', chr(92) + '1')}', 'g')"
+        return f"CASE WHEN regexp_full_match({raw}, '[mnpµμ]M') THEN translate({raw}[1:1], 'µμ', 'uu') || 'mol/l' ELSE {k} END"
+
+    prefix = {"": 1.0, "k": 1e3, "m": 1e-3, "u": 1e-6, "n": 1e-9, "p": 1e-12}
+    volume = {"l": 1.0, "dl": 1e-1, "ml": 1e-3}
+    sizes = [(f"{p}{b}/{v}", b, x / y) for b in ("g", "mol", "u", "kat") for p, x in prefix.items() for v, y in volume.items()]
+    sizes += [(f"10^{e}/{v}", "count", 10.0**e * f) for e in (3, 6, 9, 12) for v, f in (("l", 1.0), ("mm3", 1e6))]
+    sizes += [("g/l", "count", 1e9), ("t/l", "count", 1e12), ("/mm3", "count", 1e6), ("mm", "m", 1e-3), ("cm", "m", 1e-2), ("dm", "m", 1e-1), ("%", "%", 1.0), ("l/l", "%", 100.0)]
+    sizes += [(u, u, 1.0) for u in ("1", "mmol/mol", "pg", "fl", "s", "mm/h")]
+    values = ", ".join(f"('{k}', '{d}', {round(math.log10(x), 6)})" for k, d, x in sizes)
+    unit = r"[^\s\d,;()|][^\s,;()|]*(?:[ ]?/[ ]?[^\s,;()|]+)?(?: mL| mm3| cent| première heure)?|/[ ]?mm[3³]|10[\^*][0-9]+/[a-zA-Z0-9]+|x10\^[0-9]+/L|p\. cent"
+    pair = f"(?:^|[^\\w.,])({number})[{BLANKS}]?({unit})"
+    num = lambda c: f"try_cast(replace(regexp_replace({c}, '[{BLANKS}]', '', 'g'), ',', '.') AS double)"
+    pairs = lambda c: f"list_zip(regexp_extract_all({c}, '{pair}', 1), regexp_extract_all({c}, '{pair}', 2))"
+    return f"""WITH size AS (SELECT * FROM (VALUES {values}) t(k, d, l)),
+ref AS (SELECT u.*, s.d, s.l FROM unit_ref u JOIN size s ON s.k = {key('u.unit_code')} WHERE NOT (s.k = 'g/l' AND (s.d = 'count') <> starts_with(u.unit_code, 'G'))),
+o AS (SELECT observation_id, extracted_at, canonical_key, raw_value, evidence_text, coalesce(normalized_value.n, {num(f"regexp_extract(raw_value, '({number})', 1)")}) AS number,
+  CASE WHEN lower(trim(regexp_replace(unit, '[{BLANKS}]', ' ', 'g'), ' ')) NOT IN ('', '-', '?', 'n/a', 'na', '--', '.') THEN unit END AS field_unit FROM observations),
+c AS (SELECT o.*, unnest(list_concat([{{'p': 1, 'i': 1, 'u': field_unit, 'n': number}}], list_transform({pairs('raw_value')}, lambda x, i: {{'p': 2, 'i': i, 'u': x[2], 'n': {num('x[1]')}}}), list_transform({pairs('evidence_text')}, lambda x, i: {{'p': 3, 'i': i, 'u': x[2], 'n': {num('x[1]')}}}))) AS z FROM o),
+k AS (SELECT observation_id, extracted_at, c.canonical_key, z, r.unit_code, r.factor, r.shift FROM c JOIN size s ON s.k = {key("regexp_replace(z.u, '([^m])[.]$', '" + chr(92) + "1')")} JOIN ref r ON r.canonical_key = c.canonical_key AND r.d = s.d AND r.l = s.l WHERE z.u IS NOT NULL AND (z.p < 2 OR abs(z.n - number) <= abs(number) * 1e-9)),
+b AS (SELECT observation_id, extracted_at, canonical_key, arg_min(struct_pack(unit_code, factor, shift), (z.p, z.i)) AS r FROM k GROUP BY ALL)
+SELECT o.observation_id, o.extracted_at, o.canonical_key, o.number, b.r.unit_code AS unit_code, round(coalesce(o.number * b.r.factor + b.r.shift, CASE WHEN u.unit_code IS NOT NULL THEN o.number END), 6) AS common_value
+FROM o LEFT JOIN b USING (observation_id, extracted_at, canonical_key) LEFT JOIN unit_ref u ON u.canonical_key = o.canonical_key AND u.is_common WHERE o.number IS NOT NULL"""
+
+
+@registry.add("observation_units", _observation_sql())
+def observation_units(spark, d):
+    """Observations in the common unit of their key, with the code of the unit stated."""
+    from pyspark.sql import functions as F
+
+    q = units.observation_quantities(load(spark, d, "observations"), load(spark, d, "unit_ref")).where("number is not null")
+    return q.select("observation_id", "extracted_at", "canonical_key", "number", "unit_code", F.round("common_value", 6).alias("common_value"))
