@@ -1,8 +1,9 @@
 """Which analyte a lab line is about, by equality joins only.
 
 The name as typed, its words in any order and the name printed in raw_text are looked up among the
-forms of the analyte list; what is left is joined on deletion variants (two texts within d typing
-errors share a text with at most d letters deleted) and on word beginnings.
+forms of the analyte list, also by word beginnings; typed names that are left are joined on deletion
+variants of their first letters (texts within two typing errors share a beginning with at most two
+letters deleted) and verified by levenshtein.
 
 Edge cases: null or blank names fall back to canonical_name; no match or a tie gives null; repeated
 rows, empty tables and extra columns are kept as they are.
@@ -60,10 +61,11 @@ def resolve(lines: DataFrame, analyte_ref: DataFrame, out: str = "analyte") -> D
     # the list is fixed reference data (a few hundred forms), so every lookup broadcasts it
     typed = F.when(~blank(F.col("name")), F.col("name")).when(~blank(F.col("canonical_name")), F.col("canonical_name"))
     rows = lines.withColumn("_t", typed).withColumn("_p", F.when(~blank(F.col("name")), name_part(F.col("raw_text"))))
-    names = rows.select(F.explode(F.array("_t", "_p")).alias("t")).where(~blank(F.col("t"))).distinct().withColumn("f", plain_name(F.col("t"))).withColumn("fs", _spaced(F.col("f")))
+    names = rows.select(F.explode(F.array(F.struct(F.col("_t").alias("t"), F.lit(True).alias("typed")), F.struct(F.col("_p").alias("t"), F.lit(False).alias("typed")))).alias("x")).select("x.*")
+    names = names.where(~blank(F.col("t"))).groupBy("t").agg(F.max("typed").alias("typed")).withColumn("f", plain_name(F.col("t"))).withColumn("fs", _spaced(F.col("f")))
     names = cut(names.where(F.length("fs").between(1, 120)), "names")  # read by every lookup below
     by = []
-    for cost, expr in ((0, lambda c: c), (1, lambda c: F.array_join(F.array_sort(F.split(c, " ")), " ")), (2, _looks)):
+    for cost, expr in ((0, lambda c: c), (1, lambda c: F.array_join(F.sort_array(F.split(c, " ")), " ")), (2, _looks)):
         k = forms.select("canonical_key", expr(F.col("fs")).alias("k")).distinct()
         by.append(names.withColumn("k", expr(F.col("fs"))).join(F.broadcast(k), "k").select("t", "canonical_key", F.lit(cost).alias("cost")))
     begin = F.array_join(F.transform(F.split(F.col("fs"), " "), lambda x: F.substring(x, 1, 2)), " ")
@@ -75,25 +77,34 @@ def resolve(lines: DataFrame, analyte_ref: DataFrame, out: str = "analyte") -> D
         .select("t", "canonical_key", F.lit(3).alias("cost"))
     )
     sure = cut(reduce(DataFrame.unionAll, by).groupBy("t").agg(F.min(F.struct("cost", "canonical_key")).alias("b"), F.count("*").alias("n")), "sure")
-    left = names.join(sure.select("t"), "t", "left_anti").where("length(fs) >= 4")
-    # one deletion on either side covers one error (a swap of neighbours included); where that fails,
-    # two deletions cover two errors
-    one = cut(_near(left, forms, _deletions), "near")
-    rest = left.join(one.select("t"), "t", "left_anti").where("length(fs) >= 6")
-    two = _near(rest, forms.where("length(fs) >= 6"), lambda c: F.array_distinct(F.flatten(F.transform(_deletions(c), _deletions))))
+    # a printed name counts only as it stands, a typed one also with typing errors
+    left = names.where("typed").join(sure.select("t"), "t", "left_anti").where("length(fs) >= 4")
+    near = _near(left, forms)
     known = sure.select("t", F.col("b.canonical_key").alias("k"))
-    a = known.unionAll(one).unionAll(two).select(F.col("t").alias("_t"), F.col("k").alias("_k1"))
-    b = known.select(F.col("t").alias("_p"), F.col("k").alias("_k2"))  # a printed name counts only as it stands
+    a = known.unionAll(near).select(F.col("t").alias("_t"), F.col("k").alias("_k1"))
+    b = known.select(F.col("t").alias("_p"), F.col("k").alias("_k2"))
     return rows.join(a, "_t", "left").join(b, "_p", "left").withColumn(out, F.coalesce("_k1", "_k2")).drop("_t", "_p", "_k1", "_k2")
 
 
-def _near(names: DataFrame, forms: DataFrame, variants) -> DataFrame:
-    f = forms.select("canonical_key", F.col("fs").alias("gs"), F.explode(variants(F.col("fs"))).alias("v"))
+#: How many first letters deletion variants are made of: two errors leave a common beginning among them.
+PREFIX = 7
+
+
+def _near(names: DataFrame, forms: DataFrame) -> DataFrame:
+    """(t, k): the one key nearest within two typing errors (one below six letters), swaps of neighbours included."""
+    variants = lambda c: F.array_distinct(F.flatten(F.transform(_deletions(F.substring(c, 1, PREFIX)), _deletions)))
+    f = forms.where("length(fs) >= 4").select("canonical_key", F.col("fs").alias("gs"), F.explode(variants(F.col("fs"))).alias("v"))
     n = names.select("t", "fs", F.explode(variants(F.col("fs"))).alias("v"))
-    pairs = n.join(F.broadcast(f), "v").select("t", "fs", "gs", "canonical_key").distinct()
+    pairs = n.join(F.broadcast(f), "v").where("abs(length(fs) - length(gs)) <= 2").select("t", "fs", "gs", "canonical_key").distinct()
+    pairs = cut(pairs, "pairs")  # else the tests below are pushed under the distinct and run once per shared variant
+    letters = lambda c: F.array_join(F.sort_array(F.split(F.col(c), "")), "")
+    lev = F.levenshtein("fs", "gs")
+    # a swap is two of the distance and one error, and leaves the letters what they are
+    pairs = pairs.withColumn("d", lev).where("d <= 4").withColumn("far", F.levenshtein(letters("fs"), letters("gs")))
+    errors = F.when((F.col("d") == 4) & (F.col("far") == 0), 2).when((F.col("d") == 3) & (F.col("far") <= 2), 2).when((F.col("d") == 2) & (F.col("far") == 0), 1).otherwise(F.col("d"))
     return (
-        pairs.withColumn("d", F.levenshtein("fs", "gs"))
-        .groupBy("t", "canonical_key").agg(F.min("d").alias("d"))
+        pairs.where(errors <= F.when(F.length("gs") >= 6, 2).otherwise(1))
+        .groupBy("t", "canonical_key").agg(F.min(errors * 10 + F.col("d")).alias("d"))
         .groupBy("t").agg(F.min(F.struct("d", "canonical_key")).alias("b"), F.sort_array(F.collect_list("d")).alias("ds"))
         .where((F.size("ds") == 1) | (F.element_at("ds", 1) < F.try_element_at("ds", F.lit(2))))
         .select("t", F.col("b.canonical_key").alias("k"))
