@@ -55,7 +55,7 @@ def shape_key(k: Column) -> Column:
 
 
 def sorted_words(k: Column) -> Column:
-    return F.array_join(F.array_sort(F.split(k, " ")), " ")
+    return F.array_join(F.sort_array(F.split(k, " ")), " ")
 
 
 def edits_allowed(n: Column) -> Column:
@@ -120,7 +120,7 @@ def close_pairs(names: DataFrame, forms: DataFrame, hint) -> DataFrame:
     pairs = probes.join(hint(segs), ["flen", "i", "seg"]).select("nkey", "ref_key", "fkey", "k").distinct()
 
     def letters(c: str) -> Column:
-        return F.array_join(F.array_sort(F.split(F.col(c), "")), "")
+        return F.array_join(F.sort_array(F.split(F.col(c), "")), "")
 
     lev = F.levenshtein("nkey", "fkey")
     far = F.levenshtein(letters("nkey"), letters("fkey"))
@@ -160,7 +160,7 @@ def match_values(values: DataFrame, text: str, forms: DataFrame, broadcast_forms
     f = forms.select("ref_key", "fkey")
     exact = names.join(hint(f), F.col("nkey") == F.col("fkey")).select("text", "ref_key", F.lit(0).alias("cost"))
     turned = names.join(
-        hint(f.select("ref_key", sorted_words(F.col("fkey")).alias("w")).distinct()), F.expr("array_join(array_sort(split(nkey, ' ')), ' ')") == F.col("w")
+        hint(f.select("ref_key", sorted_words(F.col("fkey")).alias("w")).distinct()), F.expr("array_join(sort_array(split(nkey, ' ')), ' ')") == F.col("w")
     ).select("text", "ref_key", F.lit(1).alias("cost"))
     shaped = names.withColumn("w", shape_key(F.col("nkey"))).join(
         hint(f.select("ref_key", shape_key(F.col("fkey")).alias("w")).distinct()), "w"
