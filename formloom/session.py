@@ -41,13 +41,27 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_CUTS: list[str] = []
+
+
 def cut(df: DataFrame, name: str = "t") -> DataFrame:
     """Write df into the shared folder and read it back: a cut lineage that outlives executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/formloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _CUTS.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_cuts(spark: SparkSession) -> int:
+    """Deletes the tables `cut` wrote in this session, once nothing reads them any more; returns how many."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    n = 0
+    while _CUTS:
+        p = fs_path(_CUTS.pop())
+        n += bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    return n
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
