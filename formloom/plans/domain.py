@@ -520,9 +520,9 @@ def version_preflight(s, d):
     return index.version_conflicts(o, o)
 
 
-@add("tenant_names", "SELECT DISTINCT study_id, 'ecrf__' || substring(regexp_replace(study_id, '[^A-Za-z0-9_-]', '_', 'g'), 1, 60) AS collection FROM parsed_documents")
+@add("tenant_names", "SELECT DISTINCT study_id, 'forms__' || substring(regexp_replace(study_id, '[^A-Za-z0-9_-]', '_', 'g'), 1, 60) AS collection FROM parsed_documents")
 def tenant_names(s, d):
-    return load(s, d, "parsed_documents").select("study_id", index.collection_of("ecrf", F.col("study_id")).alias("collection")).distinct()
+    return load(s, d, "parsed_documents").select("study_id", index.collection_of("forms", F.col("study_id")).alias("collection")).distinct()
 
 
 @add(
