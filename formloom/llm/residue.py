@@ -3,11 +3,13 @@
 One multi-pattern automaton (Aho-Corasick, built once per worker) finds the phrases of all languages
 in the folded text in a single pass. Open slots are found by their delimiters. A document is marked
 when it has an open slot, or when filler, error and script phrases together cover most of what is left
-of it without headings and menu lines.
+of it without headings and menu lines. Filler is also counted by its words, and by a short phrase of two
+or more words that follows itself again and again, whatever its words.
 
 Edge cases: null, empty and blank texts are not marked; real texts that mention an error or scripts
 are not, as the matched part is small; control tokens (<|...|>), marks like [illisible] and lists of
-choices in braces are no slots; very long texts are read whole; repeated rows each keep their row.
+choices in braces are no slots, and repeated they are no filler; one word repeated is filler only if it
+is in FILLER_WORDS; very long texts are read whole; repeated rows each keep their row.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from operator import eq
 
 import ahocorasick
 import pandas as pd
@@ -25,6 +28,9 @@ from pyspark.sql import functions as F
 COVERAGE = 0.5
 #: How many words of its sentence a phrase speaks for at most.
 SPEAKS_FOR = 25
+#: A phrase of PHRASE words at most is filler if it follows itself in COPIES copies or more.
+PHRASE = 5
+COPIES = 4
 
 #: Phrases of error pages, script notices and filler, folded (fixed values, two languages).
 ERROR = (
@@ -49,15 +55,17 @@ SCRIPT = (
 )
 FILLER = (
     "lorem", "ipsum", "texte de remplissage", "contenu fictif", "inserer ici", "exemple de texte", "ce paragraphe sera remplace", "votre titre ici", "your title here", "placeholder text", "sample text", "dummy text",
+    "texte d'exemple", "contenu d'exemple", "exemple de contenu", "votre texte ici", "votre description ici", "inserez ici", "inserer le texte ici", "foo bar",
+    "dummy content", "sample content", "placeholder content", "content for layout", "goes here", "your heading here", "your text here", "your description here", "insert text here",
     "insert description here", "insert the description here", "this paragraph will be replaced", "filler text", "mock-up", "maquette", "do not publish", "ne pas diffuser",
 )
 #: Keyboard filler: single words that only count among their like.
 FILLER_WORDS = frozenset(
-    "bla blabla asdf qsdf azerty qwerty toto titi tata test essai xxx foo bar foobar lorem ipsum dolor sit amet consectetur adipiscing elit "
+    "bla blabla asdf qsdf azerty qwerty toto titi tata test essai xxx abc foo bar baz foobar lorem ipsum dolor sit amet consectetur adipiscing elit "
     "arctus crassat dolum facila fulvis gravem integro maurit nobila nuncta ordinus plexit portis pretor quenda sempra siter terrula velam vocatis".split()
 )
-#: Of these, the ones that make a text worth counting.
-FILLER_CUES = ("blabla", "bla bla", "asdf", "qsdf", "azerty", "qwerty", "toto", "xxx", "foobar", "lorem", "ipsum", "crassat", "plexit", "vocatis", "maurit")
+#: Of these, the ones that real sentences have too; they only count where all words of the sentence are filler.
+FILLER_ORDINARY = frozenset("test essai xxx abc bar dolor sit".split())
 #: A sentence with one of these reports an error or notice; it is content.
 MENTION = (
     "patient signale", "patiente signale", "patient said", "patient reports", "sans consequence pour le suivi", "with no effect on follow-up",
@@ -106,6 +114,39 @@ _AUTO: list = []
 _SENT = re.compile(r"[^.!?\n]+(?:[.!?]+(?=\s|$)|\n|$)|[.!?\n]")
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"\w+")
+_MARK = re.compile(r"\[[^\[\]\n]*\]|<\|[^|\n]*\|>|\{[^{}\n]*\}|\b(?:illisibles?|illegible|inaudible)\b")
+
+
+def filler_words(words: list[str]) -> bool:
+    """Whether a sentence of these words is keyboard filler or mock Latin."""
+    n = sum(w in FILLER_WORDS for w in words)
+    if not n or n * 2 < len(words):
+        return False
+    return n == len(words) > 1 or any(w in FILLER_WORDS and w not in FILLER_ORDINARY for w in words)
+
+
+def repeated(low: str) -> list[tuple[int, int]]:
+    """Spans where a phrase of two or more different words, without digits, follows itself COPIES times or more."""
+    low = _MARK.sub(lambda m: "0" * len(m[0]), low)
+    words = _TOKEN.findall(low)
+    spans: list[tuple[int, int]] = []
+    at: list[tuple[int, int]] = []
+    for p in range(2, PHRASE + 1):
+        same = bytes(map(eq, words, words[p:]))
+        i = same.find(b"\1" * (p * (COPIES - 1)))
+        while i >= 0:
+            j = same.find(0, i)
+            j = len(same) if j < 0 else j
+            if len(set(words[i : i + p])) > 1 and all(w.isalpha() for w in words[i : i + p]):
+                at = at or [m.span() for m in _TOKEN.finditer(low)]
+                spans.append((at[i][0], at[j + p - 1][1]))
+            i = same.find(b"\1" * (p * (COPIES - 1)), j)
+    merged: list[tuple[int, int]] = []
+    for x, y in sorted(spans):
+        if merged and x <= merged[-1][1]:
+            x, y = merged[-1][0], max(y, merged.pop()[1])
+        merged.append((x, y))
+    return merged
 
 
 def judge(text: str | None, coverage: float = COVERAGE) -> tuple[str | None, float]:
@@ -116,15 +157,16 @@ def judge(text: str | None, coverage: float = COVERAGE) -> tuple[str | None, flo
     if SLOT.search(text) or SLOT_ANYCASE.search(text):
         return "slot", 1.0
     if not _AUTO:
-        _AUTO.append(automaton({"error": ERROR, "script": SCRIPT, "filler": FILLER, "mention": MENTION, "cue": FILLER_CUES}))
+        _AUTO.append(automaton({"error": ERROR, "script": SCRIPT, "filler": FILLER, "mention": MENTION}))
     low = folded(text)
     hits = [(end - n + 1, end + 1, kind) for end, (kind, n) in _AUTO[0].iter(low)]
-    if not hits:
+    runs = repeated(low)
+    if not hits and not runs and FILLER_WORDS.isdisjoint(_WORD.findall(low)):
         return None, 0.0
     # phrases speak for the whole sentence (or line) they stand in
     covered = {"error": 0, "script": 0, "filler": 0}
     total = 0
-    k = 0
+    k = r = 0
     hits.sort()
     for m in _SENT.finditer(low):
         a, b = m.span()
@@ -139,15 +181,20 @@ def judge(text: str | None, coverage: float = COVERAGE) -> tuple[str | None, flo
         if "mention" in kinds:
             total += size
             continue
-        kinds.discard("cue")
-        ws = _WORD.findall(m[0])
-        if ws and sum(w in FILLER_WORDS for w in ws) * 2 >= len(ws):
+        menu = "|" in m[0] or "·" in m[0]
+        again = 0
+        while r < len(runs) and runs[r][0] < b:
+            again += 0 if menu else len(_TOKEN.findall(low, max(a, runs[r][0]), min(b, runs[r][1])))
+            if runs[r][1] > b:
+                break
+            r += 1
+        if filler_words(_WORD.findall(m[0])) or again and again * 2 >= size:
             kinds, at = {"filler"}, []
         if kinds:
             own = size if "filler" in kinds and not at else min(size, SPEAKS_FOR * max(len(at), 1))
             covered["filler" if "filler" in kinds else "script" if "script" in kinds else "error"] += own
             total += size
-        elif (size > 4 or re.search(r"\d", m[0])) and "|" not in m[0] and "·" not in m[0] and not m[0].strip().startswith("version"):
+        elif (size > 4 or re.search(r"\d", m[0])) and not menu and not m[0].strip().startswith("version"):
             total += size  # all else: headings and menu entries
     share = sum(covered.values()) / max(total, 1)
     if not sum(covered.values()) or share < coverage:

@@ -152,6 +152,26 @@ def test_residue(text, kind):
     assert residue.judge(text)[0] == kind
 
 
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("Foo bar baz " * 9, "filler"), ("Microscopy\n" + "Foo bar baz " * 8, "filler"), ("abc " * 50, "filler"), ("Antécédents\n" + "abc " * 50, "filler"), ("Texte d'exemple " * 10, "filler"),
+        ("Test test test " * 30, "filler"), ("Description goes here. Your heading here. Dummy content for layout.", "filler"), ("Your heading here.", "filler"), ("essai test titi tata", "filler"),
+        ("Contenu à venir " * 6, "filler"), ("Conclusion\n" + "Rien à lire. " * 6, "filler"), ("Mot mot vide " * 6, "filler"), ("gauche droite " * 9, "filler"),  # unlisted phrases, repeated
+        ("Test positif.", None), ("Essai clinique.", None), ("Caryotype 47,XXX.", None), ("Pression 3 bar.", None), ("Score ABC élevé.", None), ("[illisible] mot " * 9, None), ("non lu illisible " * 9, None), ("12 mm 12 mm " * 9, None),
+        ("Contenu à venir " * 4 + "\nLe foie est normal, la rate est normale, les reins sont normaux, la vessie est vide et le pancréas est homogène.", None),
+        ("Foie normal. Rate normale. " * 3, None), ("Une lésion du foie mesure 12 mm. " * 9, None), ("| oui non | oui non | oui non | oui non |\nFoie normal.", None),
+    ],
+)
+def test_residue_filler_families(text, kind):
+    assert residue.judge(text)[0] == kind
+
+
+def test_repeated_phrase_is_counted_once():
+    low = "gauche droite gauche droite gauche droite gauche droite gauche droite gauche droite gauche droite gauche droite"
+    assert residue.repeated(low + " et le foie") == [(0, len(low))]
+
+
 def test_residue_tables(spark):
     df = spark.createDataFrame([(1, "{{x}}", "s"), (1, "{{x}}", "s"), (2, "Foie normal.", "s"), (3, None, "s")], "doc_id long, text string, residue_kind string")
     assert [r["doc_id"] for r in residue.p9_found(df).collect()] == [1, 1]
