@@ -1,8 +1,8 @@
 """Retrieval: lexical, dense and BM25 rankings, fusion, reranking, recall.
 
 Queries are a stated set (rows with an id divisible by 100, or a small table); all rows are candidates.
-The query side is broadcast only below a checked size; beyond it, blocks of queries go one after the
-other. Blank queries have no hits; ties fall to the smallest id; null texts match nothing.
+The query side is broadcast in blocks of a fixed size, however many there are, and the rankings of the
+blocks are united. Blank queries have no hits; ties fall to the smallest id; null texts match nothing.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Most queries that are broadcast as one block.
-QUERY_BLOCK = 10_000
+#: Most queries that are broadcast as one block, and most that a batch is multiplied with at a time.
+QUERY_BLOCK, QUERY_ROWS = 10_000, 500
 #: Fusion constant and BM25 parameters (published defaults).
 RRF_C, BM25_K1, BM25_B = 60.0, 1.2, 0.75
 
@@ -51,17 +51,30 @@ def lexical(queries: DataFrame, passages: DataFrame, k: int) -> DataFrame:
 def dense(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """(query_id, id, score, rank) by cosine, exact: every vector against the stated queries.
 
-    Vectors go in blocks against one block of queries held as a matrix (numpy inside an Arrow batch);
+    Vectors go in batches against blocks of queries, each held as a matrix (numpy inside an Arrow batch);
     each batch passes on only its own k best per query, so what is shuffled is queries * k per batch.
     """
+    kind, idk = dict(queries.dtypes)["query_id"], dict(vectors.dtypes)["id"]
+    found = None
+    block: list = []
+    for r in queries.select("query_id", "embedding").where("embedding is not null").toLocalIterator():
+        block.append(r)
+        if len(block) == QUERY_BLOCK:
+            part = _dense_block(block, vectors, k, kind, idk)
+            found, block = part if found is None else found.unionAll(part), []
+    if block or found is None:
+        part = _dense_block(block, vectors, k, kind, idk)
+        found = part if found is None else found.unionAll(part)
+    return top_k(found, ["query_id"], "score", "id", k)
+
+
+def _dense_block(rows: list, vectors: DataFrame, k: int, kind: str, idk: str) -> DataFrame:
+    """(query_id, id, score): per batch of vectors, the k best of each query of one block."""
     import numpy as np
     import pandas as pd
 
-    rows = queries.select("query_id", "embedding").where("embedding is not null").limit(QUERY_BLOCK + 1).collect()
-    if len(rows) > QUERY_BLOCK:
-        raise ValueError(f"more than {QUERY_BLOCK} queries: pass them in blocks")
     ids = [r["query_id"] for r in rows]
-    m = np.asarray([r["embedding"] for r in rows], np.float64).reshape(len(rows), -1)
+    m = np.asarray([r["embedding"] for r in rows], np.float64).reshape(len(rows), -1) if rows else np.zeros((0, 0))
     m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
     shared = vectors.sparkSession.sparkContext.broadcast((ids, m))
 
@@ -73,17 +86,15 @@ def dense(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
                 continue
             x = np.asarray(pdf["embedding"].tolist(), np.float64)
             x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-            s = np.round(m @ x.T, 6)
             own = pdf["id"].to_numpy()
-            out = []
-            for q in range(len(ids)):
-                order = np.lexsort((own, -s[q]))[:k]
-                out.append(pd.DataFrame({"query_id": ids[q], "id": own[order], "score": s[q][order]}))
-            yield pd.concat(out)
-
-    kind, idk = dict(queries.dtypes)["query_id"], dict(vectors.dtypes)["id"]
-    part = vectors.select("id", "embedding").mapInPandas(run, f"query_id {kind}, id {idk}, score double")
-    return top_k(part, ["query_id"], "score", "id", k)
+            for a in range(0, len(ids), QUERY_ROWS):
+                out = []
+                for q, s in enumerate(np.round(m[a : a + QUERY_ROWS] @ x.T, 6), a):
+                    order = np.lexsort((own, -s))[:k]
+                    out.append(pd.DataFrame({"query_id": ids[q], "id": own[order], "score": s[order]}))
+                yield pd.concat(out)
+
+    return vectors.select("id", "embedding").mapInPandas(run, f"query_id {kind}, id {idk}, score double")
 
 
 def terms(df: DataFrame, key: str, text: str) -> DataFrame:

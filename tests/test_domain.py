@@ -134,6 +134,19 @@ def test_dense_against_brute_force(spark):
         assert [r["id"] for r in sorted((h for h in hits if h["query_id"] == q), key=lambda h: h["rank"])] == best
 
 
+def test_dense_in_blocks_of_queries(spark, monkeypatch):
+    rows = [(i, [float(i % 7 + 1), float(i % 5), 1.0]) for i in range(60)]
+    v = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(3)
+    q = v.where("id % 3 = 0").select(F.col("id").alias("query_id"), "embedding")
+    ranked = lambda: sorted((tuple(r) for r in retrieval.dense(q, v, 4).collect()), key=str)
+    whole = ranked()
+    assert len(whole) == 20 * 4
+    for size in (1, 7, 20):  # rests, and a last block that is full
+        monkeypatch.setattr(retrieval, "QUERY_BLOCK", size)
+        assert ranked() == whole
+    assert retrieval.dense(q.where("false"), v, 4).collect() == []
+
+
 def test_lexical_counts_words_inside_words(spark):
     q = spark.createDataFrame([(1, "bilan AST ab"), (2, "  "), (3, None)], "query_id int, query string")
     p = spark.createDataFrame([(1, "contraste injecté"), (2, "bilan ast"), (3, ""), (4, None)], "id int, text string")
