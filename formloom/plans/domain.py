@@ -268,7 +268,14 @@ def lesion_size_mm(s, d):
 
 @add("lesion_sizes")
 def lesion_sizes(s, d):
-    return extraction.lesion_sizes(load(s, d, "parsed_documents").where("document_type_hint = 'imaging_report'"), "document_id", "full_text")
+    # the hint is a dirty column: where it knows nothing, the text settles the type, and a document that
+    # neither settles (many short imaging reports) is read too; only documents of another type are left out
+    p = load(s, d, "parsed_documents").select("document_id", "full_text", "document_type_hint")
+    hint = F.lower(F.trim("document_type_hint"))
+    blank = F.coalesce(hint, F.lit("")).isin("", "unknown")
+    routed = parsing.classify(p.where(blank), "full_text").select("document_id", "full_text", parsing.route(hint, F.col("document_type")).alias("t"))
+    docs = p.where(~blank).select("document_id", "full_text", hint.alias("t")).unionAll(routed).where("t in ('imaging_report', 'unknown')")
+    return extraction.lesion_sizes(docs, "document_id", "full_text")
 
 
 _BB, _BA = extraction.BASELINE_BEFORE.replace("'", "''"), extraction.BASELINE_AFTER.replace("'", "''")

@@ -1,15 +1,30 @@
 import datetime
 import json
 import uuid
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from formloom.operators import chunking, etl, evaluation, extraction, index, labrows, parsing, retrieval, rules
+from formloom.plans import domain
 from formloom.sources import files
 from formloom.streaming import ingest
 
 
+def _table(spark, tmp_path, name, rows, schema):
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+def test_lesion_sizes_route_unknown_hints(spark, tmp_path):
+    imaging = "Scanner thoraco-abdominal. RECIST 1.1. " + "La lésion du foie mesure 40 mm. " * 3
+    rows = [("a", "imaging_report", "Nodule de 12 mm."), ("b", "unknown", imaging), ("c", None, imaging), ("d", " ", imaging), ("e", "clinical_letter", imaging), ("f", "unknown", "Bonjour, cicatrice de 3 cm."), ("g", "unknown", None), ("i", "unknown", "Cher confrère, antécédents de nodule de 9 mm. Cordialement"), ("h", "Imaging_Report ", "Nodule de 5 cm.")]
+    d = _table(spark, tmp_path, "parsed_documents", rows, "document_id string, document_type_hint string, full_text string")
+    got = Counter((r["document_id"], r["value_mm"]) for r in domain.lesion_sizes(spark, d).collect())
+    assert got == {("a", 12.0): 1, ("b", 40.0): 3, ("c", 40.0): 3, ("d", 40.0): 3, ("f", 30.0): 1, ("h", 50.0): 1}
+
+
 def test_dates(spark):
     rows = [("Prélevé le 05/03/24, édité 2020-01-01",), ("le 31/02/2024 puis 2023-05-06",), ("12/11/69 ",), ("12/11/70 ",), ("rien",), (None,), ("",)]
     got = [r[0] for r in spark.createDataFrame(rows, "t string").select(parsing.document_date(F.col("t"))).collect()]
