@@ -141,7 +141,7 @@ def size_confidence(sentence: Column) -> Column:
 def baseline_size_mm(text: Column) -> Column:
     """The size that stands near a baseline cue, in millimetres."""
     one = lambda p: size_mm(F.nullif(F.regexp_extract(text, p, 1), F.lit("")), F.regexp_extract(text, p, 2))
-    return F.coalesce(one(BASELINE_BEFORE), one(BASELINE_AFTER))
+    return F.coalesce(*[one(p.replace("(?is)", "(?isu)")) for p in (BASELINE_BEFORE, BASELINE_AFTER)])  # É as é
 
 
 def lesion_sizes(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -153,7 +153,7 @@ def lesion_sizes(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def conclusion_of(text: Column) -> Column:
     """The text from its last conclusion heading on, or null."""
-    rest = F.regexp_extract(text, f"(?is)^.*({CONCLUSION}.*)$", 1)
+    rest = F.regexp_extract(text, rf"(?isu)^.*({CONCLUSION}.*)\z", 1)
     return F.when(rest != "", rest)
 
 

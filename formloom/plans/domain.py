@@ -300,6 +300,13 @@ def imaging_fallbacks(s, d):
     return load(s, d, "part").withColumn("t", t).select("p_partkey", F.round(extraction.baseline_size_mm(F.col("t")), 6).alias("size_mm"), extraction.conclusion_recist(F.col("t")).alias("recist"))
 
 
+# the same rules over every clinical text; tested against brute force
+@add("report_fallbacks")
+def report_fallbacks(s, d):
+    t = F.col("full_text")
+    return load(s, d, "parsed_documents").select("document_id", F.round(extraction.baseline_size_mm(t), 6).alias("size_mm"), extraction.conclusion_recist(t).alias("recist"))
+
+
 _NE = " OR ".join("contains(lower(t), '" + x.replace("'", "''") + "')" for x in extraction.NOT_EVALUABLE)
 _ST = " OR ".join(f"contains(lower(t), '{x}')" for x in extraction.STABLE)
 

@@ -1,5 +1,6 @@
 import datetime
 import json
+import re
 import uuid
 from collections import Counter
 
@@ -25,6 +26,39 @@ def test_lesion_sizes_route_unknown_hints(spark, tmp_path):
     assert got == {("a", 12.0): 1, ("b", 40.0): 3, ("c", 40.0): 3, ("d", 40.0): 3, ("f", 30.0): 1, ("h", 50.0): 1}
 
 
+def test_report_fallbacks_against_brute_force(spark, sf, tmp_path):
+    fl = re.I | re.S
+
+    def mm(t):
+        for p in (extraction.BASELINE_BEFORE, extraction.BASELINE_AFTER):
+            m = re.search(p.replace("(?is)", ""), t, fl)
+            if m:
+                return round(float(m[1].replace(",", ".")) * (10 if m[2].lower().startswith("c") else 1), 6)
+
+    def recist(t):
+        at = [m.start() for m in re.finditer(extraction.CONCLUSION, t, re.I)]
+        c = t[at[-1] :].strip() if at else ""
+        low = c.lower()
+        codes = re.findall(r"\b(CR|PR|SD|PD|NE)\b", c, re.I)
+        has = lambda *xs: any(x in low for x in xs)
+        if not c:
+            return None
+        if has(*extraction.NOT_EVALUABLE):
+            return "NE"
+        if codes:
+            return codes[-1].upper()
+        return "CR" if has("complète", "complete") else "PR" if has("partielle", "partial") else "SD" if has(*extraction.STABLE) else "PD" if has("progression", "progressive") else None
+
+    long = "Le foie est normal. " * 5000
+    texts = [long + "Bilan d'inclusion : 4,5 cm.\n" + long + "\nCONCLUSION : PR\n" + long, "CATÉGORIE RECIST RETENUE : SD", "AU DÉMARRAGE DU TRAITEMENT, 3 cm", "Conclusion : PR.\n\nConclusion\nMaladie stable.\n", "", None, "PD sans titre"]
+    real = [r["full_text"] for r in spark.read.parquet(f"{sf}/parsed_documents.parquet").select("full_text").collect()]
+    rows = [(str(i), t) for i, t in enumerate(texts + real)]
+    got = {r["document_id"]: (r["size_mm"], r["recist"]) for r in domain.report_fallbacks(spark, _table(spark, tmp_path, "parsed_documents", rows, "document_id string, full_text string")).collect()}
+    assert got == {i: (mm(t), recist(t)) if t is not None else (None, None) for i, t in rows}
+    assert [got[str(i)] for i in range(7)] == [(45.0, "PR"), (None, "SD"), (30.0, None), (None, "SD"), (None, None), (None, None), (None, None)]
+    assert any(x for _, x in list(got.values())[7:])
+
+
 def test_dates(spark):
     rows = [("Prélevé le 05/03/24, édité 2020-01-01",), ("le 31/02/2024 puis 2023-05-06",), ("12/11/69 ",), ("12/11/70 ",), ("rien",), (None,), ("",)]
     got = [r[0] for r in spark.createDataFrame(rows, "t string").select(parsing.document_date(F.col("t"))).collect()]
