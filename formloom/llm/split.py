@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 from pyspark.sql.window import Window
 
 LIMIT, OVERLAP = 1200, 100
@@ -102,21 +103,40 @@ def latest_chunks(chunks: DataFrame) -> DataFrame:
     )
 
 
+@F.pandas_udf(ArrayType(LongType()))
+def occurrences(whole: pd.Series, part: pd.Series) -> pd.Series:
+    """All places where part stands in whole, overlapping ones too."""
+    out = []
+    for w, p in zip(whole, part):
+        at: list[int] = []
+        i = w.find(p) if w is not None else -1
+        while i >= 0:
+            at.append(i)
+            i = w.find(p, i + 1)
+        out.append(at)
+    return pd.Series(out)
+
+
 def split_chunks(chunks: DataFrame, documents: DataFrame | None = None, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """(chunk_id, document_id, piece, text, char_start, char_end) of every chunk above the limit.
 
-    Offsets of a chunk that has none are looked up in its document's text, if documents are given.
+    Offsets of a chunk that has none are looked up in its document's text, if documents are given. Copies
+    of one text get its occurrences in their order; where there are more or fewer occurrences without a
+    known chunk than copies, nothing tells them apart and the offsets stay null.
     """
     big = latest_chunks(chunks.where(F.length("text") > limit))
     if documents is not None:
-        lost = big.where("char_start is null").drop("char_start")
+        # all copies of a text in a document, those of known place too: the n-th by order is the n-th occurrence
+        copy = Window.partitionBy("document_id", "text")
+        mates = big.withColumn("taken", F.collect_set("char_start").over(copy)).where("char_start is null").drop("char_start")
+        mates = mates.withColumn("n", F.dense_rank().over(copy.orderBy("chunk_ord")))
+        mates = mates.withColumn("copies", F.max("n").over(copy))
         texts = documents.select("document_id", "full_text")
-        found = lost.join(texts, "document_id", "left").withColumn("at", F.expr("instr(full_text, text)")).select(
-            "chunk_id", "document_id", "chunk_ord", "text", F.when(F.col("at") > 0, F.col("at").cast("long") - 1).alias("char_start")
-        )
-        # equal texts of one document stand one after the other: as unknown as before
-        twice = Window.partitionBy("document_id", F.xxhash64("text"))
-        found = found.withColumn("n", F.count("*").over(twice)).withColumn("char_start", F.when(F.col("n") == 1, F.col("char_start"))).drop("n")
+        found = mates.join(texts, "document_id", "left").withColumn("at", occurrences("full_text", "text"))
+        free = F.array_sort(F.array_except("at", "taken"))
+        # as many places as copies, or the copies cannot be told apart
+        told = (F.size(free) == F.col("copies")) & F.col("chunk_ord").isNotNull()
+        found = found.select("chunk_id", "document_id", "chunk_ord", "text", F.when(told, F.try_element_at(free, F.col("n"))).alias("char_start"))
         big = big.where("char_start is not null").select(*found.columns).unionAll(found)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

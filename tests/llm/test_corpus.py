@@ -55,6 +55,26 @@ def test_chunk_offsets(spark):
     assert split.p6_found(spark.createDataFrame([], s)).count() == 0
 
 
+def test_copies_of_one_text_get_its_occurrences_in_order(spark):
+    import datetime
+
+    t = datetime.datetime(2024, 1, 1)
+    x, y = "Une phrase de plus. " * 100, "é𝄞 noch ein Satz. " * 100
+    s = "chunk_id string, document_id string, chunk_ord int, text string, char_start long, char_end long, indexed_at timestamp"
+    full = {"two": "A" + x + "B" + x + "C" + y + "D", "known": "A" + x + "B" + x, "once of two": x + "B" + x, "three of two": x + "B" + x, "tied": "A" + x}
+    rows = [
+        ("a2", "two", 5, x, None, None, t), ("a1", "two", 2, x, None, None, t), ("a3", "two", 7, y, None, None, t), ("b1", "known", 0, x, None, None, t), ("b2", "known", 1, x, 2 + len(x), 2 + 2 * len(x), t),
+        ("c1", "once of two", 0, x, None, None, t), ("d1", "three of two", 0, x, None, None, t), ("d2", "three of two", 1, x, None, None, t), ("d3", "three of two", 2, x, None, None, t),
+        ("e1", "tied", 0, x, None, None, t), ("e2", "tied", 0, x, None, None, t), ("f1", "missing", 0, x, None, None, t),
+    ]
+    docs = spark.createDataFrame(list(full.items()), "document_id string, full_text string")
+    got = split.split_chunks(spark.createDataFrame(rows, s), docs).collect()
+    first = {r["chunk_id"]: r["char_start"] for r in got if r["piece"] == 0}
+    n = len(x)
+    assert first == {"a1": 1, "a2": 2 + n, "a3": 3 + 2 * n, "b1": 1, "b2": 2 + n, "c1": None, "d1": None, "d2": None, "d3": None, "e1": 1, "e2": 1, "f1": None}
+    assert all(full[r["document_id"]][r["char_start"] : r["char_end"]] == r["text"] for r in got if r["char_start"] is not None)
+
+
 # --- encoding -------------------------------------------------------------------------------------
 def reference():
     import public_tokenizers as P
