@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: How much of a text the scores look at, and how many of its lines (fixed values of the behaviour matched).
+#: How much of a text the scores look at, and how many of its lines, unless told otherwise (fixed values
+#: of the behaviour matched; None is the whole text).
 SAMPLE_CHARS, SAMPLE_LINES = 18_000, 500
 
 # Vocabularies of the scores.
@@ -68,13 +69,17 @@ def decode_text(content: Column) -> Column:
     return F.make_valid_utf8(content.cast("string"))
 
 
-def sample_lower(text: Column) -> Column:
-    return F.lower(F.substring(text, 1, SAMPLE_CHARS))
+def sample(text: Column, chars: int | None = SAMPLE_CHARS) -> Column:
+    return text if chars is None else F.substring(text, 1, chars)
 
 
-def lab_score(text: Column) -> Column:
+def sample_lower(text: Column, chars: int | None = SAMPLE_CHARS) -> Column:
+    return F.lower(sample(text, chars))
+
+
+def lab_score(text: Column, chars: int | None = SAMPLE_CHARS) -> Column:
     """Points that speak for a laboratory panel."""
-    s = sample_lower(text)
+    s = sample_lower(text, chars)
     weak = _points(s, LAB_WEAK_PARTS, 1) + reduce(lambda a, b: a + b, [s.rlike(rf"(?U)\b{w}\b").cast("int") for w in LAB_WEAK_WORDS])
     has_value = s.rlike(VALUE_UNIT)
     row = _any(s, LAB_ROW_PARTS) | s.rlike(r"(?U)\b(?:ast|alt|crp)\b")
@@ -84,17 +89,18 @@ def lab_score(text: Column) -> Column:
     )
 
 
-def morpho_context(text: Column) -> Column:
-    return _any(sample_lower(text), MORPHO_CONTEXT)
+def morpho_context(text: Column, chars: int | None = SAMPLE_CHARS) -> Column:
+    return _any(sample_lower(text, chars), MORPHO_CONTEXT)
 
 
-def probable_lab(text: Column) -> Column:
-    return (F.trim(text) != "") & (lab_score(text) >= F.when(morpho_context(text), 6).otherwise(4))
+def probable_lab(text: Column, chars: int | None = SAMPLE_CHARS) -> Column:
+    return (F.trim(text) != "") & (lab_score(text, chars) >= F.when(morpho_context(text, chars), 6).otherwise(4))
 
 
-def line_stats(text: Column) -> Column:
+def line_stats(text: Column, most: int | None = SAMPLE_LINES) -> Column:
     """Struct of the first non-blank lines: number, share of table rows, share with value and unit, mean length."""
-    lines = F.slice(F.filter(F.split(text, "\n"), lambda x: F.trim(x) != ""), 1, SAMPLE_LINES)
+    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
+    lines = lines if most is None else F.slice(lines, 1, most)
     n = F.size(lines)
 
     def share(test) -> Column:
@@ -108,20 +114,22 @@ def line_stats(text: Column) -> Column:
     )
 
 
-def classify(docs: DataFrame, text: str = "text", sections: str | None = None, n_tables: Column | None = None, n_headings: Column | None = None) -> DataFrame:
+def classify(docs: DataFrame, text: str = "text", sections: str | None = None, n_tables: Column | None = None, n_headings: Column | None = None,
+             chars: int | None = SAMPLE_CHARS, most: int | None = SAMPLE_LINES) -> DataFrame:
     """docs with `type_scores` (struct of four) and `document_type`.
 
     Scores blend vocabulary and line structure; imaging context dampens the laboratory score,
-    pathology context the imaging one; a weak or narrow winner is `unknown`.
+    pathology context the imaging one; a weak or narrow winner is `unknown`. chars and most bound what is
+    looked at; None is the whole text and all lines.
     """
     t = F.col(text)
-    low = sample_lower(t)
+    low = sample_lower(t, chars)
     tables, heads = n_tables if n_tables is not None else F.lit(0), n_headings if n_headings is not None else F.lit(0)
-    df = docs.withColumn("_s", line_stats(F.coalesce(F.col(sections), F.substring(t, 1, SAMPLE_CHARS)) if sections else F.substring(t, 1, SAMPLE_CHARS)))
+    df = docs.withColumn("_s", line_stats(F.coalesce(F.col(sections), sample(t, chars)) if sections else sample(t, chars), most))
     p, v = F.col("_s.pipe_ratio"), F.col("_s.value_unit_ratio")
     one = F.lit(1.0)
     lab_struct = F.least(one, 0.42 * p + 0.38 * F.least(one, v * 12.0) + 0.12 * F.least(one, tables / 5.0) + 0.08 * v)
-    df = df.withColumn("_ctx", morpho_context(t)).withColumn("_lab", 0.52 * F.least(one, lab_score(t) / 6.25) + 0.35 * lab_struct + 0.13 * F.least(one, (p + v) / 1.2))
+    df = df.withColumn("_ctx", morpho_context(t, chars)).withColumn("_lab", 0.52 * F.least(one, lab_score(t, chars) / 6.25) + 0.35 * lab_struct + 0.13 * F.least(one, (p + v) / 1.2))
     bonus = F.least(one, reduce(lambda a, b: a + b, [F.when(low.contains(w), x).otherwise(0.0) for w, x in IMAGING_PARTS]))
     narrative = F.least(one, 0.28 * F.least(one, F.col("_s.mean_length") / 95.0) + 0.32 * (1.0 - p) + 0.22 * F.least(one, heads / 5.0) + 0.18 * F.least(one, F.col("_s.n_lines") / 80.0))
     base = F.when(F.col("_ctx"), 0.86).otherwise(F.least(one, 0.22 + bonus))

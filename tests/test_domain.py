@@ -75,6 +75,16 @@ def test_document_types(spark):
     assert got == {1: "lab_blood_panel", 2: "imaging_report", 3: "clinical_letter", 4: "unknown", 5: "unknown", 6: "pathology_report"}
 
 
+def test_scores_over_whole_texts(spark):
+    late = "a b c d\n" * 3000 + "NFS, hémogramme. CRP : 12 mg/L\nCompte rendu anatomopathologique : biopsie, coloration, histologie\n"
+    df = spark.createDataFrame([(late,)], "text string")
+    t = F.col("text")
+    got = df.select(parsing.lab_score(t), parsing.lab_score(t, None), parsing.morpho_context(t), parsing.morpho_context(t, None), parsing.probable_lab(t), parsing.probable_lab(t, None), parsing.line_stats(t)["n_lines"], parsing.line_stats(t, None)["n_lines"]).first()
+    assert got[0] == 0 and got[1] > 6 and tuple(got)[2:] == (False, True, False, True, 500, 3002)
+    types = [parsing.classify(df, **k).first()["document_type"] for k in ({}, {"chars": None, "most": None})]
+    assert types == ["unknown", "pathology_report"]
+
+
 def test_segments_and_headings(spark):
     rows = [("a", "lab_blood_panel", "Page 1\nBIOCHIMIE :\nx 1\n\ny 2\nHemostase\nz 3"), ("b", "unknown", ""), ("c", "unknown", None)]
     got = parsing.segment(spark.createDataFrame(rows, "k string, t string, x string"), "k", "x", "t").orderBy("k", "section_ord").collect()
