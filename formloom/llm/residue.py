@@ -1,15 +1,21 @@
 """Problem 9: template residue, filler, error pages and script notices in place of content.
 
-One multi-pattern automaton (Aho-Corasick, built once per worker) finds the phrases of all languages
-in the folded text in a single pass. Open slots are found by their delimiters. A document is marked
-when it has an open slot, or when filler, error and script phrases together cover most of what is left
-of it without headings and menu lines. Filler is also counted by its words, and by a short phrase of two
-or more words that follows itself again and again, whatever its words.
-
-Edge cases: null, empty and blank texts are not marked; real texts that mention an error or scripts
-are not, as the matched part is small; control tokens (<|...|>), marks like [illisible] and lists of
-choices in braces are no slots, and repeated they are no filler; one word repeated is filler only if it
-is in FILLER_WORDS; very long texts are read whole; repeated rows each keep their row.
+One multi-pattern automaton (Aho-Corasick, built once per worker) finds word beginnings of seven languages
+in the folded text in a single pass. A beginning has a role: trouble, system, advice, script, permission,
+reference, filler. No single role says much; a sentence is an error or a script notice by the roles that
+meet in it, or by its structure (status codes, stack frames, fields of an error object). A document is
+marked when it has an open slot, or when such sentences cover most of what is left of it without headings
+and menu lines.
+
+Filler is known by statistics, not by its words: a sentence without figures and almost without function
+words, whose letters follow each other in a way the corpus does not know. That model is a table of letter
+triples (27 ** 3 numbers, whatever the corpus) counted over all documents (`letter_model`). Filler is also
+what repeats itself: few different words in a sentence, or a short phrase that follows itself.
+
+Edge cases: null, empty and blank texts are not marked; a sentence in which somebody reports an error or a
+notice is content; control tokens (<|...|>), marks like [illisible] and lists of choices in braces are no
+slots, and repeated they are no filler; very long texts are read whole; repeated rows each keep their row;
+an empty corpus has a model that knows nothing and finds no filler by letters.
 """
 
 from __future__ import annotations
@@ -20,57 +26,80 @@ from collections.abc import Iterator
 from operator import eq
 
 import ahocorasick
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Share of the letters of a document that phrases must cover.
+#: Share of the words of a document that such sentences must hold.
 COVERAGE = 0.5
-#: How many words of its sentence a phrase speaks for at most.
-SPEAKS_FOR = 25
 #: A phrase of PHRASE words at most is filler if it follows itself in COPIES copies or more.
 PHRASE = 5
 COPIES = 4
-
-#: Phrases of error pages, script notices and filler, folded (fixed values, two languages).
-ERROR = (
-    "erreur inattendue est survenue", "une erreur est survenue", "erreur inattendue", "code incident", "quelque chose s'est mal passe", "la page demandee est introuvable",
-    "page introuvable", "impossible d'afficher le fichier", "delai depasse", "service en maintenance", "merci de revenir plus tard",
-    "acces refuse", "vous n'avez pas les droits", "session a expire", "session expiree", "serveur indisponible", "temporairement indisponible", "reessayez dans quelques minutes",
-    "trop de requetes", "acces est suspendu", "document illisible", "echec du chargement", "echec de", "erreur interne", "passerelle", "archive distante",
-    "an unexpected error occurred", "unexpected error", "something went wrong", "the requested page could not be found", "page could not be found", "page not found", "not found",
-    "the file could not be displayed", "could not be displayed", "timed out", "under maintenance", "please come back later", "access denied",
-    "you do not have permission", "session has expired", "temporarily unavailable", "try again in a few minutes", "too many requests", "access is suspended",
-    "ce document n'existe plus", "echec de la conversion", "contactez l'assistance", "momentanement indisponible", "reessayez dans", "reconnecter au portail",
-    "this document no longer exists", "conversion failed", "contact support", "try again in", "please sign in again", "scheduled maintenance",
-    "<erreur><code>", "<libelle>", "\"status\":", "\"statut\":", "\"error\":", "\"message\":", "ressource absente", "exception in thread", "oups", "oops", "identifiant :",
-    "gateway failure", "did not answer", "resource missing", "internal server error", "bad gateway", "service unavailable", "help desk",
-)
-SCRIPT = (
-    "javascript", "activer les scripts", "autorisez les scripts", "execution de scripts", "sans js", "votre navigateur", "scripts et les cookies", "scripts et cookies", "bloqueur",
-    "enable javascript", "enable scripts", "scripts and cookies", "needs scripts to run", "your browser", "without js", "a blocker prevents", "active content", "contenu actif",
-    "javascript est desactive", "ne fonctionnera pas correctement", "verifiez les reglages de votre poste", "acceptez les cookies", "activez les scripts",
-    "javascript is disabled", "will not work", "js turned off", "not supported", "reload the page", "rechargez la page", "check the settings of your workstation", "check your settings", "accept cookies",
-    "allow scripts", "display module", "module d'affichage",
-)
-FILLER = (
-    "lorem", "ipsum", "texte de remplissage", "contenu fictif", "inserer ici", "exemple de texte", "ce paragraphe sera remplace", "votre titre ici", "your title here", "placeholder text", "sample text", "dummy text",
-    "texte d'exemple", "contenu d'exemple", "exemple de contenu", "votre texte ici", "votre description ici", "inserez ici", "inserer le texte ici", "foo bar",
-    "dummy content", "sample content", "placeholder content", "content for layout", "goes here", "your heading here", "your text here", "your description here", "insert text here",
-    "insert description here", "insert the description here", "this paragraph will be replaced", "filler text", "mock-up", "maquette", "do not publish", "ne pas diffuser",
+#: Most words read as one sentence.
+STRETCH = 40
+#: Bits a letter costs on average above which the corpus does not know how its neighbours go together;
+#: most function words a filler sentence may have, and its fewest words.
+STRANGE_BITS, FEW_FUNCTION, FILLER_SIZE = 3.3, 0.2, 4
+
+#: Word beginnings by role, folded (fixed values). A final `$` wants the word to end there.
+ROLES = {
+    "trouble": (
+        "erreur", "echec", "echoue", "introuvable", "indisponible", "injoignable", "inaccessible", "illisible$", "expire", "refuse", "interdit", "suspendu", "depasse", "surcharge", "impossible d", "n'existe plus", "n'existe pas",
+        "ne repond", "n'a pas repondu", "mal passe", "trop de requetes", "n'avez pas", "absente$", "en maintenance", "hors service", "impossible$", "pas pris en charge", "obsolete",
+        "error", "fail", "not found", "unavailable", "unreachable", "timed out", "timeout", "time-out", "denied", "forbidden", "unauthori", "overload", "no longer exists", "does not exist", "could not be", "couldn't", "cannot be", "unable to",
+        "did not answer", "did not respond", "went wrong", "too many requests", "do not have permission", "missing", "exception", "traceback", "under maintenance", "scheduled maintenance", "crash", "null pointer", "condition that prevented", "not supported", "outdated",
+        "fehler", "nicht gefunden", "nicht verfugbar", "abgelaufen", "verweigert", "fehlgeschlagen", "no encontrad", "no disponible", "caducad", "denegad", "errore", "non trovat", "non disponibile", "scadut", "negat", "fout", "niet gevonden",
+    ),
+    "system": (
+        "page$", "pages$", "serveur", "session", "requete", "url$", "http", "portail", "site$", "navigateur", "fichier", "connexion", "identifiant", "compte$", "base de donnees", "document", "ressource", "archive", "conversion", "chargement", "passerelle",
+        "affich", "afficheur", "application", "service$", "acces$", "code$", "statut", "visionneuse", "droits",
+        "server", "host$", "upstream", "proxy", "gateway", "request", "portal", "website", "web page", "browser", "file$", "connection", "login", "account", "database", "api$", "resource", "display", "render", "thread", "status", "module", "viewer", "access$",
+        "permission", "seite", "datei", "sitzung", "anfrage", "verbindung", "zugriff", "pagina", "servidor", "sesion", "solicitud", "acceso", "servizio", "richiesta", "sessione",
+    ),
+    "browser": ("navigateur", "browser", "navegador"),
+    "advice": (
+        "reessayez", "essayez", "revenir plus tard", "revenez", "contactez", "assistance", "rechargez", "actualisez", "reconnecte", "patientez", "quelques minutes", "veuillez", "administrateur", "verifiez",
+        "try again", "come back later", "contact support", "contact the", "help desk", "reload", "refresh", "sign in again", "log in again", "please", "in a few minutes", "administrator", "check your", "check the settings",
+        "versuchen sie", "bitte", "erneut", "laden sie", "intente", "vuelva", "por favor", "riprova", "ricarica", "contatta", "probeer",
+    ),
+    "script": (
+        "javascript", "script$", "scripts$", "scripting", "module actif", "modules actifs", "js$", "cookie", "bloqueur", "blocker", "ad block", "adblock", "contenu actif", "active content", "contenus actifs", "skript", "aktive inhalte", "secuencias de comandos", "contenuti attivi", "applet", "webgl",
+    ),
+    "permission": (
+        "activ", "autoris", "desactiv", "accept", "necessaire", "requis", "exige", "fonctionne", "besoin", "empeche", "execut", "permet", "sans$", "reglages",
+        "enabl", "allow", "disabl", "turned o", "turn o", "required", "requires", "needs", "support", "prevent", "will not work", "must be", "without$", "to run", "settings",
+        "aktivier", "zulassen", "erlaub", "benotig", "deaktivier", "habilit", "permit", "necesit", "abilit", "consent", "richied", "inschakel",
+    ),
+    "reference": ("incident", "ticket", "request id", "ray id", "trace id", "reference :", "ref$", "code erreur", "error code", "code incident", "correlation"),
+    "filler": (
+        "lorem", "ipsum", "placeholder", "texte de remplissage", "remplissage", "contenu fictif", "texte fictif", "faux texte", "exemple de texte", "exemple de contenu", "texte d'exemple", "contenu d'exemple", "inserer ici", "inserez", "a inserer",
+        "votre titre", "votre texte", "votre description", "ici votre", "sera remplace", "maquette", "ne pas diffuser",
+        "sample text", "sample content", "dummy", "filler", "goes here", "your title", "your heading", "your text", "your description", "insert text", "insert description", "insert the", "insert your", "text here", "will be replaced", "for layout", "mock-up", "mockup",
+        "do not publish", "platzhalter", "blindtext", "texto de relleno", "texto de ejemplo", "testo segnaposto", "foo bar",
+    ),
+}
+#: What only an error page says, alone (fixed values).
+PLAIN_ERROR = re.compile(
+    r"(?:maintenance in progress|en (?:cours de )?maintenance|scheduled maintenance|internal server error|bad gateway|service unavailable|gateway time-?out|page (?:not found|introuvable)|not found\W*$|access denied|acces refuse|(?:something|quelque chose) (?:went wrong|s'est mal passe)|une erreur (?:inattendue )?est survenue"
+    r"|an (?:unexpected )?error (?:has )?occurred|session (?:has |a )?expired?|exception in thread|stack ?trace|traceback|\boups\b|\boops\b|proxy error|\b(?:echec|failed)\b.{0,40}\b(?:chargement|conversion|load|render)|^\W*(?:erreur|error|http(?: status)?|fehler)\W{0,3}\d{3}\b)"
 )
-#: Keyboard filler: single words that only count among their like.
-FILLER_WORDS = frozenset(
-    "bla blabla asdf qsdf azerty qwerty toto titi tata test essai xxx abc foo bar baz foobar lorem ipsum dolor sit amet consectetur adipiscing elit "
-    "arctus crassat dolum facila fulvis gravem integro maurit nobila nuncta ordinus plexit portis pretor quenda sempra siter terrula velam vocatis".split()
-)
-#: Of these, the ones that real sentences have too; they only count where all words of the sentence are filler.
-FILLER_ORDINARY = frozenset("test essai xxx abc bar dolor sit".split())
-#: A sentence with one of these reports an error or notice; it is content.
-MENTION = (
-    "patient signale", "patiente signale", "patient said", "patient reports", "sans consequence pour le suivi", "with no effect on follow-up",
-    "le portail a affiche", "the portal showed", "navigateur demandait", "browser asked", "remise sur papier", "paper copy was given",
+#: The build of an error: stack frames, class names of exceptions, fields of an error object.
+STRUCTURE = re.compile(
+    r"^\s*at [\w$]+(?:[.$/][\w$]+)+|\b[a-z]\w*(?:\.[a-z]\w*)+(?:exception|error|report)?\b(?= at |:|\()|[\"<](?:status|statut|error|erreur|message|code|libelle)[\">]\s*[:>]?|^\s*<\?xml|\bfile \"[^\"]+\", line \d+"
 )
+CODE = re.compile(r"(?<![\d.,/-])[45]\d\d(?![\d.,/-])|\b0x[0-9a-f]{4,}\b")
+#: Somebody tells of it: a person as subject of a reporting verb, or a verb of showing in the past (grammar, fixed values).
+WHO = r"(?:patiente?s?|famille|epou(?:x|se)|fil(?:s|le)|mere|pere|madame|monsieur|mme|m\.|il|elle|on|nous|je|family|wife|husband|daughter|son|mother|father|mrs|mr|he|she|they|we|i|nurse|infirmiere?|secretariat|secretary|carer)"
+TELLS = r"(?:signal\w+|rapport\w+|indiqu\w+|declar\w+|mentionn\w+|expliqu\w+|dit|disait|raconte\w*|decrit|note|said|says|reports?|reported|told|mentions?|mentioned|explain\w*|complain\w*|notice[sd]?|describe[sd]?|saw)"
+MENTION = re.compile(rf"\b{WHO}\b[^,;]{{0,30}}?\b{TELLS}\b|\b(?:a|ont|avait) (?:affiche|montre|demande)\b|\b(?:affichait|montrait|demandait|demandaient)\b|\b(?:portal|page|screen|site|browser|system|it) (?:showed|displayed|asked)\b")
+#: Function words of seven languages (fixed values).
+FUNCTION = frozenset(
+    """le la les l d de du des un une et ou en au aux a dans sur pour par avec sans sous est sont ont ce cet cette ces il elle on qui que qu ne n pas plus se s son sa ses leur y entre depuis selon chez mais
+    the of and to in is are was were with for on by at from this that it not no an be has have had as or than but its their which
+    der die das und ist mit von zu den dem ein eine nicht auf fur im am wurde el los las del y con por para una que es no se su lo il lo gli di che e per con non sono una della het van een op te dat zijn do da os as um uma""".split()
+) - frozenset(("et", "in", "a", "ut", "ad", "se", "d", "non", "e", "te", "do"))
 
 _NAME = r"[A-Za-zÀ-ÿ_][\w .\-À-ÿ]{0,60}?"
 SLOT = re.compile(
@@ -92,7 +121,7 @@ class _Fold(dict):
 
 
 _FOLD = _Fold()
-_UNSEEN = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff\x00-\x08\x0b\x0e-\x1f]")
+_UNSEEN = re.compile("[­​-‏⁠﻿\x00-\x08\x0b\x0e-\x1f]")
 
 
 def folded(text: str) -> str:
@@ -100,31 +129,74 @@ def folded(text: str) -> str:
     return text.translate(_FOLD)
 
 
-def automaton(groups: dict[str, tuple[str, ...]]) -> ahocorasick.Automaton:
+# --- how letters follow each other in the corpus ------------------------------------------------------
+_LETTER = np.zeros(256, np.uint8)
+_LETTER[97:123] = np.arange(1, 27)
+
+
+def triples(low: str) -> np.ndarray:
+    """Number of each letter triple of a folded text, runs of other characters as one blank."""
+    c = _LETTER[np.frombuffer(f" {low} ".encode("ascii", "replace"), np.uint8)]
+    keep = np.ones(len(c), bool)
+    keep[1:] = (c[1:] != 0) | (c[:-1] != 0)
+    c = c[keep].astype(np.int32)
+    return c[:-2] * 729 + c[1:-1] * 27 + c[2:]
+
+
+def letter_model(docs: DataFrame, text: str = "text") -> np.ndarray | None:
+    """Bits each letter triple costs, from counts over all documents; None where there is no text.
+
+    Every task adds up its own table of 27 ** 3 counts; only these tables are shuffled.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(27**3, np.int64)
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                if t:
+                    total += np.bincount(triples(folded(t)), minlength=27**3)
+        seen = np.nonzero(total)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["triple", "n"])
+
+    rows = docs.select(F.col(text)).mapInArrow(count, "triple int, n long").groupBy("triple").agg(F.sum("n").alias("n")).collect()  # at most 27 ** 3 rows
+    if not rows:
+        return None
+    n = np.zeros(27**3)
+    n[[r["triple"] for r in rows]] = [r["n"] for r in rows]
+    n = n.reshape(729, 27)
+    single = n.sum(0) / max(n.sum(), 1)
+    # rarely seen pairs lean on the frequencies of single letters
+    return -np.log2(np.maximum((n + 20 * single) / (n.sum(1, keepdims=True) + 20), 1e-9)).reshape(-1).astype(np.float32)
+
+
+def strange(words: list[str], model: np.ndarray | None) -> bool:
+    """Whether the letters of these words follow each other as in no text of the corpus."""
+    if model is None:
+        return False
+    t = triples(" ".join(words))
+    return len(t) > 0 and float(model[t].mean()) > STRANGE_BITS + 1 / len(words)  # few words vary more
+
+
+# --- judging ------------------------------------------------------------------------------------------
+def automaton(roles: dict[str, tuple[str, ...]]) -> ahocorasick.Automaton:
+    by: dict[str, list] = {}
+    for role, starts in roles.items():
+        for p in starts:
+            by.setdefault(p.rstrip("$"), []).append((role, p.endswith("$")))
     a = ahocorasick.Automaton()
-    for kind, phrases in groups.items():
-        for p in phrases:
-            if p not in a:  # a phrase listed twice keeps its first kind
-                a.add_word(p, (kind, len(p)))
+    for p, tags in by.items():
+        a.add_word(p, (len(p), tags))
     a.make_automaton()
     return a
 
 
 _AUTO: list = []
-_SENT = re.compile(r"[^.!?\n]+(?:[.!?]+(?=\s|$)|\n|$)|[.!?\n]")
+_SENT = re.compile(r"[^.!?\n]+(?:(?:[.!?]+(?!\s|$))[^.!?\n]*)*(?:[.!?]+|\n|$)|[.!?\n]")
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"\w+")
 _MARK = re.compile(r"\[[^\[\]\n]*\]|<\|[^|\n]*\|>|\{[^{}\n]*\}|\b(?:illisibles?|illegible|inaudible)\b")
 
 
-def filler_words(words: list[str]) -> bool:
-    """Whether a sentence of these words is keyboard filler or mock Latin."""
-    n = sum(w in FILLER_WORDS for w in words)
-    if not n or n * 2 < len(words):
-        return False
-    return n == len(words) > 1 or any(w in FILLER_WORDS and w not in FILLER_ORDINARY for w in words)
-
-
 def repeated(low: str) -> list[tuple[int, int]]:
     """Spans where a phrase of two or more different words, without digits, follows itself COPIES times or more."""
     low = _MARK.sub(lambda m: "0" * len(m[0]), low)
@@ -149,66 +221,119 @@ def repeated(low: str) -> list[tuple[int, int]]:
     return merged
 
 
-def judge(text: str | None, coverage: float = COVERAGE) -> tuple[str | None, float]:
-    """(kind, share): what the text is in place of content, with the share of it that says so."""
+def filler_like(sentence: str, model: np.ndarray | None) -> bool:
+    """Whether a folded sentence is filler by its statistics: it repeats a word or two, or is in no language."""
+    if re.search(r"\d", sentence) or _MARK.search(sentence):
+        return False
+    words = [w for w in _WORD.findall(sentence) if w.isascii()]
+    n = len(words)
+    if n >= 3 and len(set(words)) * 3 <= n:
+        return True
+    if n < FILLER_SIZE:
+        return False
+    return sum(w in FUNCTION for w in words) < FEW_FUNCTION * n and strange(words, model)
+
+
+def stretches(low: str) -> Iterator[tuple[int, int]]:
+    """Spans of the sentences of a folded text; a sentence without end is read STRETCH words at a time."""
+    for m in _SENT.finditer(low):
+        a, b = m.span()
+        if b - a > 4 * STRETCH:
+            for w in list(_TOKEN.finditer(low, a, b))[STRETCH::STRETCH]:
+                yield a, w.start()
+                a = w.start()
+        yield a, b
+
+
+def roles_in(low: str) -> list[tuple[int, str]]:
+    """(position, role) of every word beginning the automaton knows."""
+    if not _AUTO:
+        _AUTO.append(automaton(ROLES))
+    out = []
+    for end, (n, tags) in _AUTO[0].iter(low):
+        a = end - n + 1
+        if a and low[a - 1].isalnum():
+            continue
+        whole = end + 1 == len(low) or not low[end + 1].isalnum()
+        out += [(a, role) for role, exact in tags if whole or not exact]
+    out.sort()
+    return out
+
+
+def kind_of(sentence: str, roles: set[str]) -> str | None:
+    """error, script or filler by the roles that meet in a folded sentence and by its build, else null."""
+    if "filler" in roles:
+        return "filler"
+    if "script" in roles and roles & {"permission", "system", "advice", "trouble"} or "browser" in roles and roles & {"permission", "trouble"}:
+        return "script"
+    if PLAIN_ERROR.search(sentence) or STRUCTURE.search(sentence):
+        return "error"
+    if "trouble" in roles and ("system" in roles or "advice" in roles and "reference" in roles or CODE.search(sentence)):
+        return "error"
+    return None
+
+
+def judge(text: str | None, coverage: float = COVERAGE, model: np.ndarray | None = None) -> tuple[str | None, float]:
+    """(kind, share): what the text is in place of content, with the share of its words that says so."""
     if text is None or not text.strip():
         return None, 0.0
     text = _UNSEEN.sub("", text)
     if SLOT.search(text) or SLOT_ANYCASE.search(text):
         return "slot", 1.0
-    if not _AUTO:
-        _AUTO.append(automaton({"error": ERROR, "script": SCRIPT, "filler": FILLER, "mention": MENTION}))
     low = folded(text)
-    hits = [(end - n + 1, end + 1, kind) for end, (kind, n) in _AUTO[0].iter(low)]
+    hits = roles_in(low)
     runs = repeated(low)
-    if not hits and not runs and FILLER_WORDS.isdisjoint(_WORD.findall(low)):
-        return None, 0.0
-    # phrases speak for the whole sentence (or line) they stand in
     covered = {"error": 0, "script": 0, "filler": 0}
-    total = 0
-    k = r = 0
-    hits.sort()
-    for m in _SENT.finditer(low):
-        a, b = m.span()
-        size = len(_TOKEN.findall(m[0]))
-        kinds: set[str] = set()
-        at = []
+    side: list[int] = []  # sizes of sentences that only go with others
+    total = k = r = 0
+    for a, b in stretches(low):
+        s = low[a:b]
+        size = len(_TOKEN.findall(s))
+        roles: set[str] = set()
         while k < len(hits) and hits[k][0] < b:
-            if hits[k][0] >= a:
-                kinds.add(hits[k][2])
-                at.append(hits[k][0])
+            roles.add(hits[k][1])
             k += 1
-        if "mention" in kinds:
-            total += size
-            continue
-        menu = "|" in m[0] or "·" in m[0]
         again = 0
         while r < len(runs) and runs[r][0] < b:
-            again += 0 if menu else len(_TOKEN.findall(low, max(a, runs[r][0]), min(b, runs[r][1])))
+            again += len(_TOKEN.findall(low, max(a, runs[r][0]), min(b, runs[r][1])))
             if runs[r][1] > b:
                 break
             r += 1
-        if filler_words(_WORD.findall(m[0])) or again and again * 2 >= size:
-            kinds, at = {"filler"}, []
-        if kinds:
-            own = size if "filler" in kinds and not at else min(size, SPEAKS_FOR * max(len(at), 1))
-            covered["filler" if "filler" in kinds else "script" if "script" in kinds else "error"] += own
+        if not size:
+            continue
+        menu = "|" in s or "·" in s
+        kind = None
+        if not menu:
+            kind = "filler" if again and again * 2 >= size else kind_of(s, roles) or ("filler" if filler_like(s, model) else None)
+        if kind in ("error", "script") and MENTION.search(s):
+            kind = None
+        if kind:
+            covered[kind] += size
             total += size
-        elif (size > 4 or re.search(r"\d", m[0])) and not menu and not m[0].strip().startswith("version"):
-            total += size  # all else: headings and menu entries
+        elif not menu and (size > 4 or re.search(r"\d", s)) and not s.strip().startswith("version"):  # all else: headings and menu entries
+            total += size
+            if roles & {"advice", "reference", "trouble", "permission"} and not MENTION.search(s):
+                side.append(size)
+    if covered["error"] or covered["script"]:
+        covered["error" if covered["error"] >= covered["script"] else "script"] += sum(side)
     share = sum(covered.values()) / max(total, 1)
     if not sum(covered.values()) or share < coverage:
         return None, share
     return max(covered, key=covered.get), share
 
 
-def mark_residue(docs: DataFrame, text: str = "text", coverage: float = COVERAGE) -> DataFrame:
-    """docs with residue_kind (slot, filler, error, script or null) and residue_share."""
+def mark_residue(docs: DataFrame, text: str = "text", coverage: float = COVERAGE, model: np.ndarray | None = None) -> DataFrame:
+    """docs with residue_kind (slot, filler, error, script or null) and residue_share.
+
+    model: what `letter_model` made of a corpus; fitted on docs where none is given.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(letter_model(docs, text) if model is None else model)  # 27 ** 3 numbers
 
     @F.pandas_udf("kind string, share double")
     def mark(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        m = shared.value
         for s in texts:
-            yield pd.DataFrame([judge(t, coverage) for t in s], columns=["kind", "share"])
+            yield pd.DataFrame([judge(t, coverage, m) for t in s], columns=["kind", "share"])
 
     return docs.withColumn("_r", mark(F.col(text))).withColumn("residue_kind", F.col("_r.kind")).withColumn("residue_share", F.col("_r.share")).drop("_r")
 

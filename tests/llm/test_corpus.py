@@ -165,11 +165,33 @@ def test_plan_is_bounded_by_sizes_not_items():
         (None, None), ("", None), (" \n\xa0", None), ("Conclusion : {{ nom }}", "slot"), ("Réponse {CR, PR, SD} [illisible] <|im_start|>", None), ("Le poids est de ${poids} kg, stable depuis.", "slot"), ("Né le XX/XX/XXXX", "slot"),
         ("[À compléter]", "slot"), ("__SEXE__", "slot"), ("Titre\nLorem ipsum dolor sit amet.", "filler"), ("bla blabla asdf toto", "filler"), ("Accueil\nErreur 404 - la page demandée est introuvable.\nAide", "error"),
         ("Veuillez activer JavaScript pour afficher ce compte rendu.", "script"), ("Le portail a affiché une erreur 404 lors de la consultation, sans conséquence pour le suivi.", None),
-        ("The patient said the browser asked to enable JavaScript; a paper copy was given. Liver normal.", None), ("Foie normal. Rate normale.", None), ("texte " * 20_000 + "Erreur 404 - la page demandée est introuvable.", None), ("{{ n​om }}", "slot"),
+        ("The patient said the browser asked to enable JavaScript; a paper copy was given. Liver normal.", None), ("Foie normal. Rate normale.", None), ("texte " * 20_000 + "Erreur 404 - la page demandée est introuvable.", "filler"), ("".join(f"nodule {i} du foie de {i} mm et " for i in range(3000)) + "Erreur 404 - la page demandée est introuvable.", None), ("{{ n​om }}", "slot"),
     ],
 )
-def test_residue(text, kind):
-    assert residue.judge(text)[0] == kind
+def test_residue(text, kind, letters):
+    assert residue.judge(text, model=letters)[0] == kind
+
+
+@pytest.fixture(scope="module")
+def letters(spark, sf):
+    return residue.letter_model(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("502 Proxy Error: upstream host unreachable. Request ID 8812.", "error"), ("HTTP Status 500 – The server encountered a condition that prevented it from fulfilling the request.", "error"),
+        ("Exception in thread main: renderer.NullReport at stage 5 (ref F59671)", "error"), ("Morbi gravida, nunc et tempor vehicula, sapien lectus congue augue, sed luctus velit. Integer feugiat scelerisque varius.", "filler"),
+        ("Bitte aktivieren Sie Skripte.", "script"), ("Este sitio necesita JavaScript. Por favor, habilite los scripts.", "script"), ("Votre navigateur n'est pas pris en charge.", "script"), ("Datei nicht gefunden. Bitte versuchen Sie es erneut.", "error"),
+        ("La patiente signale une erreur sur la page du portail.", None), ("She said the server was unavailable.", None), ("Échec de la première ligne, relais par sorafenib.", None), ("Carcinome hépatocellulaire moyennement différencié, marges saines.", None),
+    ],
+)
+def test_residue_unseen_wordings(text, kind, letters):
+    assert residue.judge(text, model=letters)[0] == kind
+
+
+def test_residue_without_a_model():
+    assert residue.judge("Morbi gravida nunc tempor vehicula sapien lectus")[0] is None and residue.judge("Erreur 404 : page introuvable.")[0] == "error"
 
 
 @pytest.mark.parametrize(
@@ -183,8 +205,8 @@ def test_residue(text, kind):
         ("Foie normal. Rate normale. " * 3, None), ("Une lésion du foie mesure 12 mm. " * 9, None), ("| oui non | oui non | oui non | oui non |\nFoie normal.", None),
     ],
 )
-def test_residue_filler_families(text, kind):
-    assert residue.judge(text)[0] == kind
+def test_residue_filler_families(text, kind, letters):
+    assert residue.judge(text, model=letters)[0] == kind
 
 
 def test_repeated_phrase_is_counted_once():
