@@ -25,6 +25,7 @@ _add("p5_records", lambda s, d: survivor.p5_records(load(s, d, "field_candidates
 _add("p5_bundles", lambda s, d: survivor.p5_bundles(load(s, d, "field_candidates"), load(s, d, "field_defs")))
 _add("p6_found", lambda s, d: split.p6_found(load(s, d, "chunks")))
 _add("p6_pieces", lambda s, d: split.split_chunks(load(s, d, "chunks"), load(s, d, "parsed_documents")))
+_add("p6_tiling", lambda s, d: split.p6_tiling(load(s, d, "chunks"), load(s, d, "parsed_documents")))
 _add("p7_ids", lambda s, d: tokens.p7_ids(load(s, d, "documents")))
 _add("p8_containers", lambda s, d: packing.p8_containers(load(s, d, "documents")))
 _add("p9_found", lambda s, d: residue.p9_found(load(s, d, "documents")))

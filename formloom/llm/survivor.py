@@ -1,14 +1,18 @@
 """Problem 5: one surviving row per group of duplicates, field by field or in consistent bundles.
 
-A bundle is a set of fields taken together from one source row. Trust of a row is (confidence with
-percentages divided by 100, null lowest; then created_at; then smallest id). The choice maximises
-trust, bundle by bundle in the order given, under functional dependencies between bundles:
-`fd=(x, y)` demands that the chosen y is one that stands beside the chosen x in some row of the group.
-
-Branch and bound: the root relaxation (each bundle's most trusted row, no dependency) is one hash
-aggregate in the JVM and an upper bound of every solution. Where the root violates no dependency it
-is the optimum; only the other groups branch, over their distinct bundle values (pre-aggregated, so
-copies of a value never travel), depth first, with the best of each remaining bundle as the bound.
+A bundle is a set of dependent fields taken together from one source row (a value and its unit, the parts
+of an address). Trust of a row is (confidence with percentages divided by 100, null lowest; then
+created_at; then smallest id). The choice of bundles maximises the sum of their confidences, then the trust
+of the first, second, ... bundle, under functional dependencies: `fd=(x, y)` demands that the chosen y is
+one that stands beside the chosen x in some row of the group. A bundle may stay empty, at no confidence.
+
+Branch and bound, as relations. The root relaxation (each bundle's most trusted row, no dependency) is one
+hash aggregate and an upper bound of every solution; where it violates no dependency it is the optimum.
+Only the other groups branch, bundle after bundle: a partial choice is extended along the pairs of values
+that stand beside each other. Its bound is its own confidence plus the root's of the bundles to come; what
+stays below the most trusted row taken whole, which is always a solution, is cut. Of partial choices that
+later dependencies cannot tell apart the best remains. So a group has never more partial choices than
+distinct pairs of values, and these are rows of a table, not a list in one task: a group may be of any size.
 
 Edge cases: null, blank and `NA` texts are empty; a field empty in all rows of a group has no source
 row; groups of one row survive as they are; ties fall to the smallest id; null keys form no group;
@@ -19,12 +23,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formloom.functions.text import blank, empty_cell
 from formloom.llm.canonical import UNMATCHED, match_values, reference_forms
+from formloom.session import cut
 
 ATTRIBUTES = ("value_text", "unit", "event_date")
 
@@ -50,6 +54,10 @@ def fields_named(cands: DataFrame, defs: DataFrame) -> DataFrame:
     return cands.join(a, "field_name", "left").join(b, "target_column", "left").withColumn("field", F.coalesce("_a", "_b")).drop("_a", "_b")
 
 
+#: Confidence of a row that states none: below every stated one, above an empty bundle.
+UNSTATED = 1e-6
+
+
 def survivors(
     rows: DataFrame,
     keys: Sequence[str],
@@ -58,106 +66,87 @@ def survivors(
     id_col: str,
     fds: Sequence[tuple[str, str]] = (),
 ) -> DataFrame:
-    """(keys..., n_rows, b0, b1, ...): per group and bundle a struct of the source id and the bundle's fields, or null."""
+    """(keys..., n_rows, b0, b1, ...): per group and bundle a struct of the source id and the bundle's fields, or null.
+
+    The first field of a bundle leads it: where it is empty, the row has no such bundle.
+    """
     df = rows.withColumn("_rank", rank)
     for k in keys:
         df = df.where(F.col(k).isNotNull())
-    aggs = [F.count("*").alias("n_rows")]
-    for j, b in enumerate(bundles):
-        some = ~is_empty(df, b[0])  # the first field of a bundle leads it
-        aggs.append(F.max(F.when(some, F.struct("_rank", F.col(id_col).alias("id"), *b))).alias(f"b{j}"))
-    root = df.groupBy(*keys).agg(*aggs)
+    has = [~is_empty(df, b[0]) for b in bundles]
+    aggs = [F.max(F.when(has[j], F.struct("_rank", F.col(id_col).alias("id"), *b))).alias(f"b{j}") for j, b in enumerate(bundles)]
+    root = df.groupBy(*keys).agg(F.count("*").alias("n_rows"), *aggs)
     if not fds:
         return root
+    fields = dict.fromkeys(f for b in bundles for f in b)
+    df = cut(df.select(*keys, id_col, *fields, "_rank"), "rows")  # read by every branch below
+    has = [~is_empty(df, b[0]) for b in bundles]
+    aggs = [F.max(F.when(has[j], F.struct("_rank", F.col(id_col).alias("id"), *b))).alias(f"b{j}") for j, b in enumerate(bundles)]
+    root = df.groupBy(*keys).agg(F.count("*").alias("n_rows"), *aggs)
     where = {f: j for j, b in enumerate(bundles) for f in b}
-    beside = df.groupBy(*keys)
-    for n, (x, y) in enumerate(fds):
-        pair = F.when(~is_empty(df, x) & ~is_empty(df, y), F.struct(F.col(x).cast("string").alias("x"), F.col(y).cast("string").alias("y")))
-        aggs.append(F.collect_set(pair).alias(f"fd{n}"))
-    for j, b in enumerate(bundles):
-        some = ~is_empty(df, b[0])
-        aggs.append(F.lit(0).alias(f"_{j}"))
-    root = df.groupBy(*keys).agg(*aggs[: 1 + len(bundles) + len(fds)])
-    ok = F.lit(True)
-    for n, (x, y) in enumerate(fds):
-        cx, cy = F.col(f"b{where[x]}")[x].cast("string"), F.col(f"b{where[y]}")[y].cast("string")
-        ok = ok & (cx.isNull() | cy.isNull() | F.array_contains(F.col(f"fd{n}"), F.struct(cx.alias("x"), cy.alias("y"))))
-    root = root.withColumn("_ok", ok)
-    done = root.where("_ok").drop("_ok", *[f"fd{n}" for n in range(len(fds))])
-    open_groups = root.where("not _ok").select(*keys, "n_rows", *[f"fd{n}" for n in range(len(fds))])
-    # candidates of the open groups: the most trusted row of each distinct bundle value
-    cand = None
-    back = df.join(open_groups.select(*keys), list(keys), "left_semi")
+    links = [(where[x], x, where[y], y) for x, y in fds]
+    if any(i == j for i, _, j, _ in links):
+        raise ValueError("a dependency joins fields of two bundles")
+    pairs = [df.where(has[i] & has[j] & ~is_empty(df, x) & ~is_empty(df, y)).select(*keys, F.col(x).alias("_x"), F.col(y).alias("_y")).distinct() for i, x, j, y in links]
+    # the root where it keeps every dependency
+    test = root
+    for n, ((i, x, j, y), p) in enumerate(zip(links, pairs)):
+        test = test.withColumns({"_x": F.col(f"b{i}")[x], "_y": F.col(f"b{j}")[y]}).join(p.withColumn(f"_ok{n}", F.lit(True)), [*keys, "_x", "_y"], "left")
+        test = test.withColumn(f"_ok{n}", F.col("_x").isNull() | F.col("_y").isNull() | F.col(f"_ok{n}").isNotNull()).drop("_x", "_y")
+    ok = F.expr(" and ".join(f"_ok{n}" for n in range(len(links))))
+    test = cut(test.withColumn("_ok", ok).drop(*[f"_ok{n}" for n in range(len(links))]), "roots")
+    done = test.where("_ok").drop("_ok")
+    open_groups = test.where("not _ok").drop("_ok")
+
+    def score(r: Column) -> Column:
+        return F.when(r.isNull(), 0.0).otherwise(F.coalesce(r["_rank"]["c"], F.lit(UNSTATED)))
+
+    # a row taken whole keeps every dependency: no solution below the best of them is of use
+    ids = open_groups.select(*keys)
+    back = df.join(ids, list(keys), "left_semi")
+    row_score = sum((F.when(h, F.coalesce(F.col("_rank")["c"], F.lit(UNSTATED))).otherwise(0.0) for h in has), F.lit(0.0))
+    floor = back.groupBy(*keys).agg(F.max(row_score).alias("_floor"))
+    bounds = open_groups.join(floor, list(keys)).select(*keys, "_floor", *[score(F.col(f"b{j}")).alias(f"_u{j}") for j in range(len(bundles))])
+    base = bounds.select(*keys, "_floor", *[f"_u{j}" for j in range(len(bundles))], F.lit(0.0).alias("_sum"), F.expr("cast(array() as array<struct<t:timestamp,i:bigint>>)").alias("_tie"))
+    part = base
     for j, b in enumerate(bundles):
-        c = (
-            back.where(~is_empty(back, b[0]))
-            .groupBy(*keys, *b)
-            .agg(F.max(F.struct("_rank", F.col(id_col).alias("id"))).alias("m"))
-            .select(*keys, F.struct(F.lit(j).alias("j"), F.col("m._rank").alias("r"), F.col("m.id").alias("id"), F.array(*[F.col(f).cast("string") for f in b]).alias("v")).alias("c"))
-        )
-        cand = c if cand is None else cand.unionAll(c)
-    lists = cand.groupBy(*keys).agg(F.sort_array(F.collect_list("c"), asc=False).alias("cs")).join(open_groups, list(keys))
-    schema_id = dict(rows.dtypes)[id_col]
-    index = {f: (j, b.index(f)) for j, b in enumerate(bundles) for f in b}
-    rules = [(index[x], index[y]) for x, y in fds]
-    nb = len(bundles)
-
-    @F.pandas_udf(f"array<{schema_id}>")
-    def branch(cs: pd.Series, *known: pd.Series) -> pd.Series:
-        return pd.Series([_search([_as_dict(c) for c in group], [{(p["x"], p["y"]) for p in map(_as_dict, known[n].iloc[g])} for n in range(len(rules))], rules, nb) for g, group in enumerate(cs)])
-
-    chosen = lists.withColumn("_ids", branch("cs", *[f"fd{n}" for n in range(len(fds))]))
-    out = chosen.select(*keys, "n_rows", F.posexplode("_ids").alias("j", "id")).where("id is not null")
-    full = out.join(df.select(*keys, F.col(id_col).alias("id"), "_rank", *dict.fromkeys(f for b in bundles for f in b)), [*keys, "id"])
-    picked = full.groupBy(*keys, "n_rows").agg(
-        *[F.max(F.when(F.col("j") == j, F.struct("_rank", "id", *b))).alias(f"b{j}") for j, b in enumerate(bundles)]
-    )
+        kind = F.struct("_rank", F.col(id_col).alias("id"), *b)
+        back_j = back.where(has[j])
+        values = back_j.groupBy(*keys, *[F.col(f).alias(f"_v{f}") for f in b]).agg(F.max(kind).alias(f"b{j}")).select(*keys, f"b{j}")
+        later = [x if i == j else y for i, x, k, y in links if j in (i, k) and max(i, k) > j]
+        if not later and not any(max(i, k) == j for i, _, k, _ in links):
+            values = values.groupBy(*keys).agg(F.max(f"b{j}").alias(f"b{j}"))  # nothing depends on it: the best one
+        now = [(n, x, i, y, k) for n, (i, x, k, y) in enumerate(links) if max(i, k) == j]
+        empty = part.withColumn(f"b{j}", F.lit(None).cast(values.schema[f"b{j}"].dataType))
+        if now:
+            n, x, i, y, k = now[0]
+            early, e_field, l_field, e_pair, l_pair = (i, x, y, "_x", "_y") if k == j else (k, y, x, "_y", "_x")
+            told = part.withColumn("_e", F.col(f"b{early}")[e_field])
+            along = told.where("_e is not null").join(pairs[n].select(*keys, F.col(e_pair).alias("_e"), F.col(l_pair).alias("_l")), [*keys, "_e"])
+            along = along.join(values.withColumn("_l", F.col(f"b{j}")[l_field]), [*keys, "_l"]).drop("_e", "_l")
+            free = told.where("_e is null").drop("_e").join(values, list(keys))
+            blank_l = told.where("_e is not null").drop("_e").join(values.where(F.col(f"b{j}")[l_field].isNull()), list(keys))
+            more = along.unionByName(free).unionByName(blank_l)
+            for n, x, i, y, k in now[1:]:
+                more = more.withColumns({"_x": F.col(f"b{i}")[x], "_y": F.col(f"b{k}")[y]})
+                both = F.col("_x").isNotNull() & F.col("_y").isNotNull()
+                more = more.where(both).join(pairs[n], [*keys, "_x", "_y"], "left_semi").unionByName(more.where(~both)).drop("_x", "_y")
+        else:
+            more = part.join(values, list(keys))
+        part = more.unionByName(empty)
+        s = F.col(f"b{j}")
+        part = part.withColumn("_sum", F.round(F.col("_sum") + score(s), 9)).withColumn("_tie", F.array_append("_tie", F.struct(s["_rank"]["t"].cast("timestamp").alias("t"), s["_rank"]["i"].cast("long").alias("i"))))
+        rest = sum((F.col(f"_u{k}") for k in range(j + 1, len(bundles))), F.lit(0.0))
+        part = part.where(F.col("_sum") + rest >= F.col("_floor") - 1e-6)
+        # what later dependencies still ask for
+        asked = sorted({(i, x) for i, x, k, _ in links if i <= j < k} | {(k, y) for i, _, k, y in links if k <= j < i})
+        front = [F.col(f"b{i}")[f].alias(f"_q{n}") for n, (i, f) in enumerate(asked)]
+        cols = part.columns
+        part = part.groupBy(*keys, *front).agg(F.max_by(F.struct(*cols), F.struct("_sum", "_tie")).alias("_p")).select("_p.*")
+    picked = part.join(open_groups.select(*keys, "n_rows"), list(keys)).select(*keys, "n_rows", *[f"b{j}" for j in range(len(bundles))])
     return done.unionByName(picked)
 
 
-def _as_dict(x) -> dict:
-    return x if isinstance(x, dict) else x.asDict()
-
-
-def _search(cands: list[dict], known: list[set], rules: list, nb: int) -> list:
-    """Depth first over the bundles; the bound is the best rank each open bundle can still have."""
-    per: list[list[dict]] = [[] for _ in range(nb)]
-    for c in cands:
-        per[c["j"]].append(c)
-
-    def rank(c: dict | None) -> tuple:
-        if c is None:
-            return (-1.0, "", 0)
-        r = _as_dict(c["r"])
-        return (-0.5 if r["c"] is None else r["c"], str(r["t"] or ""), r["i"])
-
-    for p in per:
-        p.sort(key=rank, reverse=True)
-    best: list = [None, None]
-
-    def fits(chosen: list) -> bool:
-        for n, ((jx, ix), (jy, iy)) in enumerate(rules):
-            if max(jx, jy) < len(chosen) and chosen[jx] and chosen[jy]:
-                x, y = chosen[jx]["v"][ix], chosen[jy]["v"][iy]
-                if x is not None and y is not None and (x, y) not in known[n]:
-                    return False
-        return True
-
-    def down(chosen: list) -> None:
-        bound = [rank(c) for c in chosen] + [rank(p[0]) if p else rank(None) for p in per[len(chosen):]]
-        if best[0] is not None and bound <= best[0]:
-            return
-        if len(chosen) == nb:
-            best[0], best[1] = bound, list(chosen)
-            return
-        for c in [*per[len(chosen)], None]:
-            if fits([*chosen, c]):
-                down([*chosen, c])
-
-    down([])
-    return [c and c["id"] for c in best[1]]
-
-
 def form_groups(cands: DataFrame, defs: DataFrame) -> DataFrame:
     return fields_named(cands, defs).where("field is not null")
 
@@ -186,10 +175,12 @@ def p5_records(cands: DataFrame, defs: DataFrame) -> DataFrame:
 
 
 def p5_bundles(cands: DataFrame, defs: DataFrame) -> DataFrame:
-    """Survivors where value and unit must have stood beside each other (bundles under a dependency)."""
+    """Survivors in two bundles, value with unit and date with document; a value and a date must have stood beside each other."""
     g = form_groups(cands, defs)
     s = survivors(
-        g, ("patient_id", "study_id", "field"), [(a,) for a in ATTRIBUTES],
-        trust(F.col("confidence"), F.col("created_at"), F.col("candidate_id")), "candidate_id", fds=[("value_text", "unit")],
+        g, ("patient_id", "study_id", "field"), [("value_text", "unit"), ("event_date", "document_id")],
+        trust(F.col("confidence"), F.col("created_at"), F.col("candidate_id")), "candidate_id", fds=[("value_text", "event_date")],
+    )
+    return s.select(
+        "patient_id", "study_id", F.col("field").alias("field_name"), "n_rows", F.col("b0.id").alias("value_from"), "b0.value_text", "b0.unit", F.col("b1.id").alias("date_from"), "b1.event_date", "b1.document_id",
     )
-    return s.select("patient_id", "study_id", F.col("field").alias("field_name"), "n_rows", *[F.col(f"b{j}")[a].alias(a) for j, a in enumerate(ATTRIBUTES)])

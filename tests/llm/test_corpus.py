@@ -27,6 +27,27 @@ def test_cuts_at_the_largest_boundary():
     assert all(text[y - 1].isspace() for _, y in spans[:-1])
 
 
+def test_siblings_of_one_parent_only_are_merged():
+    text = "# A\n" + "a b. " * 60 + "\n## A1\n" + "c d. " * 100 + "\n## A2\n" + "e f. " * 90 + "\n# B\n" + "g h. " * 20
+    starts = [text[a : a + 4].strip() for a, _ in split.cores(text, 1200, 100)]
+    assert starts == ["# A", "## A", "# B"]  # A with A1, then A2, then B: A2 is no sibling of B
+
+
+def test_lists_are_cut_by_depth():
+    text = "- x\n  - y1 " + "w " * 300 + "\n  - y2 " + "w " * 250 + "\n- z " + "v " * 100
+    assert [text[a : a + 3] for a, _ in split.cores(text, 1200, 100)] == ["- x", "- z"]
+    assert [text[a : a + 6].strip() for a, _ in split.cores(text, 700, 50)] == ["- x", "- y2", "- z v"]
+
+
+def test_a_later_shorter_version_needs_no_cutting(spark):
+    import datetime
+
+    s = "chunk_id string, document_id string, chunk_ord int, text string, char_start long, char_end long, indexed_at timestamp"
+    t1, t2 = datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 2)
+    rows = [("a", "d", 0, "x" * 1300, None, None, t1), ("a", "d", 0, "x", None, None, t2), ("b", "d", 0, "x", None, None, t1), ("b", "d", 0, "x" * 1300, None, None, t2)]
+    assert [r["chunk_id"] for r in split.p6_found(spark.createDataFrame(rows, s)).collect()] == ["b"]
+
+
 def test_no_boundary_at_all():
     assert [b - a for a, b in split.pieces_of("x" * 2500, 1200, 100)] == [1200, 1200, 300]
     with pytest.raises(ValueError):

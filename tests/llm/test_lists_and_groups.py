@@ -98,7 +98,7 @@ def test_branch_and_bound_against_all_choices(spark, seed):
     got = {r["patient_id"]: tuple(r[f"b{j}"] and r[f"b{j}"]["id"] for j in range(2)) for r in s.collect()}
 
     def rank(r):
-        return (-1.0, "", 0) if r is None else (-0.5 if r[8] is None else r[8], str(r[9]), -r[0])
+        return (0.0, "", 0) if r is None else (1e-6 if r[8] is None else r[8], str(r[9]), -r[0])
 
     for p in got:
         own = [r for r in rows if r[1] == p]
@@ -106,5 +106,27 @@ def test_branch_and_bound_against_all_choices(spark, seed):
         choices = [
             (x, y) for x in [r for r in own if r[5]] + [None] for y in [r for r in own if r[6]] + [None] if x is None or y is None or (x[5], y[6]) in known
         ]
-        best = max(choices, key=lambda c: [rank(c[0]), rank(c[1])])
+        best = max(choices, key=lambda c: [round(rank(c[0])[0] + rank(c[1])[0], 9), rank(c[0])[1:], rank(c[1])[1:]])
         assert got[p] == tuple(c and c[0] for c in best)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_bundles_of_several_fields_under_two_dependencies(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, f"p{rng.randrange(8)}", rng.choice("xy"), rng.choice("uv"), rng.choice(["a", "b", "c", None]), rng.choice("mn"), rng.choice([1, 2, None]), rng.choice([0.1, 0.4, 0.45, 0.9, None]), T1) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, p string, street string, house string, town string, zip string, year int, confidence double, created_at timestamp")
+    bundles = [("town", "zip"), ("street", "house"), ("year",)]
+    fds = [("town", "street"), ("street", "year")]
+    s = survivor.survivors(df, ("p",), bundles, survivor.trust(F.col("confidence"), F.col("created_at"), F.col("id")), "id", fds=fds)
+    at = {"town": 4, "street": 2, "year": 6}
+    for r in s.collect():
+        own = [x for x in rows if x[1] == r["p"]]
+        sides = {f: {(x[at[f[0]]], x[at[f[1]]]) for x in own} for f in fds}
+        score = lambda x: 0.0 if x is None else 1e-6 if x[7] is None else x[7]
+        pick = lambda f: [x for x in own if x[at[f]] is not None] + [None]
+        fits = lambda f, x, y: x is None or y is None or (x[at[f[0]]], y[at[f[1]]]) in sides[f]
+        most = max(score(x) + score(y) + score(z) for x in pick("town") for y in pick("street") if fits(fds[0], x, y) for z in pick("year") if fits(fds[1], y, z))
+        got = [next((x for x in own if r[f"b{j}"] and x[0] == r[f"b{j}"]["id"]), None) for j in range(3)]
+        assert abs(sum(map(score, got)) - most) < 1e-9
+        assert fits(fds[0], got[0], got[1]) and fits(fds[1], got[1], got[2])
+        assert got[0] is None or (r["b0"]["town"], r["b0"]["zip"]) == (got[0][4], got[0][5])
