@@ -7,7 +7,7 @@ The closest form decides; two keys equally close, or none, give UNMATCHED (anti-
 
 Edge cases: null or blank deciding text gives no row in `match_values` (key null in `map_rows`);
 an empty table gives no rows; repeated rows each keep their row; extra columns are kept untouched;
-very long texts match nothing, as no form is within the length bound.
+texts of any length are compared with the forms at most two letters shorter or longer.
 """
 
 from __future__ import annotations
@@ -106,7 +106,6 @@ def close_pairs(names: DataFrame, forms: DataFrame, hint) -> DataFrame:
     d = F.col("d")
     probes = (
         names.select("nkey", F.length("nkey").alias("nlen"))
-        .where("nlen between 3 and 200")
         .withColumn("d", F.explode(F.array(*[F.lit(x) for x in (-2, -1, 0, 1, 2)])))
         .withColumn("flen", F.col("nlen") - d)
         .join(hint(layout), "flen")
@@ -157,6 +156,9 @@ def match_values(values: DataFrame, text: str, forms: DataFrame, broadcast_forms
         .withColumn("nkey", name_key(F.col("clean")))
     )
     names = cut(names, "names")  # read by every join below
+    # the distinct names are few bytes, but every one becomes many probes: spread them before, AQE would pack them into one task
+    conf, spark = values.sparkSession.conf, values.sparkSession
+    keys = names.select("nkey").distinct().repartition(max(int(conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
     f = forms.select("ref_key", "fkey")
     exact = names.join(hint(f), F.col("nkey") == F.col("fkey")).select("text", "ref_key", F.lit(0).alias("cost"))
     turned = names.join(
@@ -186,7 +188,7 @@ def match_values(values: DataFrame, text: str, forms: DataFrame, broadcast_forms
         .select("text", "ref_key", F.lit(3).alias("cost"))
     )
     typed = (
-        close_pairs(names.select("nkey").distinct(), forms, hint)
+        close_pairs(keys, forms, hint)
         .groupBy("nkey", "ref_key")
         .agg(F.min(F.col("dist") * 10 + F.col("lev")).alias("cost"))
     )

@@ -119,7 +119,7 @@ near AS (
   SELECT t, ref_key, CASE WHEN lev >= 4 AND bag = 0 THEN lev - 2 WHEN lev = 3 AND bag <= 2 THEN 2 WHEN lev = 2 AND bag = 0 THEN 1 ELSE lev END AS dist, lev, k FROM (
     SELECT t, ref_key, levenshtein(nkey, fkey) AS lev, CASE WHEN levenshtein(nkey, fkey) > 1 THEN levenshtein({_letters('nkey')}, {_letters('fkey')}) ELSE 0 END AS bag,
       CASE WHEN length(fkey) >= 6 THEN 2 WHEN length(fkey) >= 4 THEN 1 ELSE 0 END AS k
-    FROM n, f WHERE length(nkey) BETWEEN 3 AND 200 AND length(fkey) >= 4 AND abs(length(nkey) - length(fkey)) <= 2)
+    FROM n, f WHERE length(fkey) >= 4 AND abs(length(nkey) - length(fkey)) <= 2)
   WHERE lev <= 2 * k),
 every AS (SELECT * FROM pairs UNION ALL SELECT t, ref_key, 10 + dist * 10 + lev FROM near WHERE dist <= k),
 best AS (SELECT t, ref_key, min(cost) AS cost FROM every GROUP BY ALL),

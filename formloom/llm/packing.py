@@ -8,10 +8,10 @@ Linear grouping on the histogram of sizes (at most capacity + 1 values, whatever
 4. Real items take the rounded places, largest first, so containers fall into classes of equal content.
 5. Small items go best-fit into the room left, class by class; what is left opens new containers.
 The plan is a table of (size, first rank, count, first container). Executors rank items within their
-size by salted blocks (no size is ever in one task) and look their container up.
+size by blocks of bounded size (no size is ever in one task) and look their container up.
 
 Edge cases: null and empty texts have size 0 and spread over all containers; ties of size are ranked by
-block and id; a corpus of only empty texts uses one container; an empty table gives no rows; repeated
+block and key; a corpus of only empty texts uses one container; an empty table gives no rows; repeated
 rows are items of their own; extra columns are ignored.
 """
 
@@ -34,8 +34,8 @@ CAPACITY = 2048
 GROUPS = 48
 #: Sizes from this share of the capacity on are large.
 LARGE = 1 / 8
-#: Blocks a size's items are ranked in; more for larger corpora.
-BLOCKS = 64
+#: Rows of a block, in which the items of a size are ranked: there are as many blocks as the items need.
+BLOCK_ROWS = 100_000
 
 Plan = list[tuple[int, int, int, int]]  # size, first rank, count, first container
 
@@ -165,61 +165,62 @@ def plan_containers(hist: dict[int, int], capacity: int = CAPACITY, groups: int
     return plan, n_containers
 
 
-def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, groups: int = GROUPS, blocks: int = BLOCKS) -> DataFrame:
-    """(key, piece, token_start, token_end, n_tokens, container_id): every item once, or in pieces above the capacity."""
+def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, groups: int = GROUPS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(key, piece, token_start, token_end, n_tokens, container_id): every item once, or in pieces above the capacity.
+
+    Only the histogram (capacity + 1 rows at most) comes to the driver. Ranks within a size are made of the
+    rank within a block and the sizes of the blocks before it, so two runs give the same containers.
+    """
     spark = items.sparkSession
-    n = F.col(size)
-    items = items.select(key, F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)).cast("long").alias("_n")).withColumn("_u", F.monotonically_increasing_id())
-    items = items.withColumn("_full", F.floor(F.col("_n") / capacity)).withColumn("_rest", F.col("_n") % capacity)
-    # an item is its rest; its full containers need no search
-    parts = items.withColumn("_b", F.pmod(F.xxhash64(key, "_u"), F.lit(blocks)).cast("int"))
-    parts = cut(parts.select(key, "_n", "_full", "_rest", "_b", "_u"), "items")
-    tally = parts.groupBy("_rest", "_b").agg(F.count("*").alias("n"), F.sum("_full").alias("full"), F.sum(F.when((F.col("_rest") == 0) & (F.col("_full") > 0), 1).otherwise(0)).alias("whole"))
-    counts = tally.collect()  # at most capacity * blocks rows, whatever the corpus
-    hist: dict[int, int] = {}
-    for r in counts:
-        if r["_rest"]:
-            hist[r["_rest"]] = hist.get(r["_rest"], 0) + r["n"]
-    plan, n_containers = plan_containers(hist, capacity, groups)
-    starts: dict[tuple[int, int], int] = {}
-    full_start: dict[tuple[int, int], int] = {}
-    seen: dict[int, int] = {}
+    n = F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("long")
+    # rows of one key and size are alike: counted once, told apart at the end
+    parts = cut(items.groupBy(key, n.alias("_n")).agg(F.count("*").alias("_m")), "items")
+    blocks = max(1, -(-parts.count() // block_rows))
+    parts = parts.withColumn("_full", F.floor(F.col("_n") / capacity)).withColumn("_rest", F.col("_n") % capacity)
+    parts = parts.withColumn("_b", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
+    tally = parts.groupBy("_rest", "_b").agg(F.sum("_m").alias("n"), F.sum(F.col("_full") * F.col("_m")).alias("full"))
+    hist, fulls = {}, {}
+    for r in tally.groupBy("_rest").agg(F.sum("n").alias("n"), F.sum("full").alias("full")).collect():  # at most `capacity` rows, whatever the corpus
+        hist[r["_rest"]], fulls[r["_rest"]] = r["n"], r["full"]
+    plan, n_containers = plan_containers({s: n for s, n in hist.items() if s}, capacity, groups)
+    full_start: dict[int, int] = {}
     at = n_containers
-    for r in sorted(counts, key=lambda r: (r["_rest"], r["_b"])):
-        starts[r["_rest"], r["_b"]] = seen.get(r["_rest"], 0)
-        seen[r["_rest"]] = seen.get(r["_rest"], 0) + r["n"]
-        full_start[r["_rest"], r["_b"]] = at
-        at += r["full"]
+    for rest in sorted(fulls):
+        full_start[rest] = at
+        at += fulls[rest]
     spread = max(1, at)
     by_size: dict[int, list[tuple[int, int, int]]] = {}
     for s, lo, count, first in plan:
         by_size.setdefault(s, []).append((lo, count, first))
     table = {s: tuple(np.asarray(x, np.int64) for x in zip(*sorted(v))) for s, v in by_size.items()}
-    shared = spark.sparkContext.broadcast((table, starts, full_start))  # bounded by capacity * (blocks + classes)
-    w = Window.partitionBy("_rest", "_b").orderBy("_u", key)
-    ranked = parts.withColumn("_r", F.row_number().over(w) - 1).withColumn("_f", F.sum("_full").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    shared = spark.sparkContext.broadcast((table, full_start))  # bounded by the capacity and the classes of containers
+    before = Window.partitionBy("_rest").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row a block
+    starts = tally.select("_rest", "_b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_s"), F.coalesce(F.sum("full").over(before), F.lit(0)).alias("_sf"))
+    w = Window.partitionBy("_rest", "_b").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = parts.withColumn("_r", F.coalesce(F.sum("_m").over(w), F.lit(0))).withColumn("_f", F.coalesce(F.sum(F.col("_full") * F.col("_m")).over(w), F.lit(0)))
+    ranked = ranked.join(starts, ["_rest", "_b"]).select(key, "_n", "_full", "_rest", (F.col("_s") + F.col("_r")).alias("_r"), (F.col("_sf") + F.col("_f")).alias("_f"), F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias("_c"))
+    ranked = ranked.select(key, "_n", "_full", "_rest", (F.col("_r") + F.col("_c")).alias("_r"), (F.col("_f") + F.col("_c") * F.col("_full")).alias("_f"))
     kind = dict(items.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, starts, full_start = shared.value
+        table, full_start = shared.value
         for b in batches:
             pdf = b.to_pandas()
             out = []
-            for k, n, full, rest, blk, r, f in zip(pdf[key], pdf["_n"], pdf["_full"], pdf["_rest"], pdf["_b"], pdf["_r"], pdf["_f"].fillna(0)):
+            for k, n, full, rest, r, f in zip(pdf[key], pdf["_n"], pdf["_full"], pdf["_rest"], pdf["_r"], pdf["_f"]):
                 for p in range(int(full)):
-                    out.append((k, p, p * capacity, (p + 1) * capacity, capacity, full_start[rest, blk] + int(f) + p))
+                    out.append((k, p, p * capacity, (p + 1) * capacity, capacity, full_start[rest] + int(f) + p))
                 if rest:
-                    rank = starts[rest, blk] + r
                     lo, count, first = table[rest]
-                    i = int(np.searchsorted(lo, rank, side="right")) - 1
-                    out.append((k, int(full), int(full) * capacity, n, rest, int(first[i] + rank - lo[i])))
+                    i = int(np.searchsorted(lo, r, side="right")) - 1
+                    out.append((k, int(full), int(full) * capacity, n, rest, int(first[i] + r - lo[i])))
                 elif not full:
-                    out.append((k, 0, 0, 0, 0, int((starts[rest, blk] + r) % spread)))
+                    out.append((k, 0, 0, 0, 0, int(r % spread)))
             yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=[key, "piece", "token_start", "token_end", "n_tokens", "container_id"]), schema=schema, preserve_index=False)
 
     types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     schema = pa.schema([(key, types[kind]), ("piece", pa.int32()), ("token_start", pa.int64()), ("token_end", pa.int64()), ("n_tokens", pa.int64()), ("container_id", pa.int64())])
-    return ranked.select(key, "_n", "_full", "_rest", "_b", "_r", "_f").mapInArrow(run, f"{key} {kind}, piece int, token_start long, token_end long, n_tokens long, container_id long")
+    return ranked.mapInArrow(run, f"{key} {kind}, piece int, token_start long, token_end long, n_tokens long, container_id long")
 
 
 def p8_containers(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
