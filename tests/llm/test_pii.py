@@ -2,11 +2,14 @@ import pytest
 
 from formloom.llm import pii
 
-ORDINARY = frozenset("resultat de controle sur un second automate le patient est fragment beige biologique".split())
+NAMES = pii.Names(
+    frozenset("resultat de controle sur un second automate le patient est fragment beige biologique score espace".split()),
+    frozenset("tiago apolline benedicte remi bastien".split()),
+)
 
 
 def hits(text):
-    return [(k, text[a:b]) for a, b, k in pii.find(text, ORDINARY)]
+    return [(k, text[a:b]) for a, b, k in pii.find(text, NAMES)]
 
 
 @pytest.mark.parametrize(
@@ -40,6 +43,17 @@ def hits(text):
         ("M. DE LA VERZELIEUX habite ici", [("person", "DE LA VERZELIEUX")]),
         ("Signed B.-M. Wendmere NHS No: 999-284-5265", [("person", "B.-M. Wendmere"), ("id_number", "999-284-5265")]),
         ("Score de Child-Pugh A5, espace de Morrison, Cockcroft", []),
+        ("rappeler le 06 douze 34 56 78 demain", [("phone", "06 douze 34 56 78")]),
+        ("zéro six douze trente-quatre cinquante-six soixante-dix-huit", [("phone", "zéro six douze trente-quatre cinquante-six soixante-dix-huit")]),
+        ("call oh seven seven double zero nine zero zero one four seven now", [("phone", "oh seven seven double zero nine zero zero one four seven")]),
+        ("NIR un quatre-vingt-cinq zéro sept soixante-quinze cent seize zéro deux quatre quarante-deux, clé", [("id_number", "un quatre-vingt-cinq zéro sept soixante-quinze cent seize zéro deux quatre quarante-deux")]),
+        ("prendre un ou deux comprimés trois fois par jour pendant dix jours", []),
+        ("tél. 01 99 00 29 41 un contrôle", [("phone", "01 99 00 29 41")]),
+        ("écrire à jean.durand at example dot com merci", [("email", "jean.durand at example dot com")]),
+        ("à jean point durand arobase mail point example point fr", [("email", "jean point durand arobase mail point example point fr")]),
+        ("seen at home", []),
+        ("Bruno Castellani a été vu en consultation.", [("person", "Bruno Castellani")]),
+        ("pour score de Vasselin-Torp, signe de Quernadec", []),
         ("réactif lot 94L6, automate n° 102912, CQ-542", []),
     ],
 )
@@ -55,12 +69,20 @@ def test_spans_survive_line_breaks_and_lookalikes():
 
 def test_long_text_and_round_trip():
     text = "mot " * 30_000 + "Dr Vaumelreuil" + " mot" * 30_000
-    h = pii.find(text, ORDINARY)
+    h = pii.find(text, NAMES)
     assert [text[a:b] for a, b, _ in h] == ["Vaumelreuil"]
     out = pii.replace(text, h)
     assert out == text.replace("Vaumelreuil", "[PERSON]")
 
 
+def test_given_names_are_learned_from_titles_and_labels(spark):
+    texts = [("Dr Bruno Castellani, Mme Bruno Verzel. Prénom : Bruno. Vu par CASTELLANI Bruno ce jour. Le foie est normal. Le foie est gros. Le foie est petit.",)]
+    n = pii.learn_names(spark.createDataFrame(texts, "text string"))
+    assert n.given == {"bruno"} and {"foie", "est"} <= n.ordinary and "castellani" not in n.ordinary
+    assert [(k, "Bruno Malaspina"[a:b]) for a, b, k in pii.find("Bruno Malaspina", n)] == [("person", "Bruno Malaspina")]
+    assert pii.learn_names(spark.createDataFrame([], "text string")) == pii.Names(frozenset())
+
+
 def test_tables(spark):
     p = "document_id string, full_text string, text string"
     a = "record_id string, evidence_excerpt string, record_kind string"
