@@ -1,10 +1,11 @@
 """Problem 2: noise in text from scanned pages, found and repaired.
 
-Lines that only repeat the head of a page or number it are set aside; the rest is read as one stream of
-characters. Each stretch of words is decoded by dynamic programming over its readings: a word as it
-stands, with scanning confusions undone, rejoined over a line-end hyphen, merged with the next word or
-split in two. A lexicon learned from the pages that were not scanned decides. Paragraph boundaries
-are chosen by dynamic programming over the lines.
+Lines that only repeat the head of a page or number it are set aside; the rest is one stream of characters.
+It is decoded jointly: one lattice whose arcs are a word as it stands, every known reading of its scanning
+confusions, words broken at a line end with and without a hyphen of their own, two words merged, one word
+split. Arcs weigh what their words cost by their frequency (bits) and what the noise costs; the cheapest
+path decides, and only noise on that path is reported. Words and frequencies are learned from the pages
+that were not scanned. Paragraph boundaries are chosen by dynamic programming over the lines.
 
 Edge cases: null and empty texts give no rows and stay as they are; documents known not to be scanned
 are left alone; without any unscanned document the lexicon comes from all; repeated rows give one set
@@ -15,7 +16,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from math import log2
 
 import pandas as pd
 import pyarrow as pa
@@ -24,9 +26,13 @@ from pyspark.sql import functions as F
 
 from formloom.session import cut
 
-#: Largest number of words and of lines kept in the lexicon: sizes of the model, fitted on all documents.
-LEXICON_WORDS, LEXICON_LINES = 150_000, 20_000
-MIN_DOCS = 3
+#: A word or line is known if it stands in this many unscanned documents, and in this share of them. So the
+#: lexicon is at most 1 / SHARE times the distinct words of a document, of a corpus of any size.
+MIN_DOCS, SHARE = 3, 1e-4
+#: Bits that noise costs: a confusion, a break at a line end, a lost hyphen, two words run together, a word torn apart.
+CONFUSED, BROKEN, OWN_HYPHEN, TORN, FUSED = 10.0, 1.0, 4.0, 18.0, 16.0
+#: Bits an unknown word costs above the rarest known one, and one that no word is written like.
+UNKNOWN, ODD = 12.0, 14.0
 
 #: What scanning makes of letters: (as it stands, as it was) (fixed values).
 CONFUSIONS = (
@@ -82,7 +88,7 @@ def headers_of(lines: list[str], known_lines: frozenset[str]) -> set[int]:
     if first is None:
         return set()
     top = shape(lines[first].lstrip("\f"))
-    if top in known_lines or not re.search(r"[^\W\d_]{2}", top) or len(top) > 120:
+    if top in known_lines or not re.search(r"[^\W\d_]{2}", top):
         return set()
     same = {i for i, x in enumerate(lines) if x.strip() and alike(shape(x.lstrip("\f")), top)}
     return same if len(same) > 1 else set()
@@ -111,36 +117,56 @@ def page_lines_of(lines: list[str], heads: set[int]) -> set[int]:
 
 
 class Reader:
-    """Decodes words by a lexicon of folded words."""
-
-    def __init__(self, words: frozenset[str]) -> None:
-        self.words = words
-        self.memo: dict[str, str | None] = {}
+    """Costs and readings of words by a lexicon of folded words with their counts."""
+
+    def __init__(self, words: Mapping[str, int] | frozenset[str]) -> None:
+        self.words = words if isinstance(words, Mapping) else dict.fromkeys(words, 1)
+        total = max(sum(self.words.values()), 1)
+        self.bits = {w: log2(total / n) for w, n in self.words.items()}
+        self.unknown = max(self.bits.values(), default=0.0) + UNKNOWN
+        #: A word that costs no more than this has no cheaper reading.
+        self.sure = min(self.bits.values(), default=0.0) + CONFUSED
+        self.memo: dict[str, tuple[float, str, bool]] = {}
+        self.tokens: dict[str, tuple[float, str, str | None, bool]] = {}
+
+    def cost(self, w: str) -> float | None:
+        """Bits of a known word, or of a word whose parts are; None if it isn't known."""
+        f = fold(w)
+        c = self.bits.get(f)
+        if c is None and "-" in f:
+            parts = [self.bits.get(p) for p in f.split("-")]
+            if all(p is not None for p in parts):
+                c = max(parts) + OWN_HYPHEN
+        return c
 
     def known(self, w: str) -> bool:
-        f = fold(w)
-        return f in self.words or "-" in f and all(p in self.words for p in f.split("-"))
+        return self.cost(w) is not None
 
-    def undo(self, w: str) -> str | None:
-        """The word that stood here, if confusions explain this one; None for a word of its own accord."""
+    def reading(self, w: str) -> tuple[float, str, bool]:
+        """(bits, word, misread) of the cheapest reading of one word."""
         if w not in self.memo:
             if len(self.memo) > 200_000:
                 self.memo.clear()
-            self.memo[w] = self._undo(w)
+            self.memo[w] = self._reading(w)
         return self.memo[w]
 
-    def _undo(self, w: str) -> str | None:
-        if len(w) < 2 or len(w) > 40:
-            return None
+    def undo(self, w: str) -> str | None:
+        """The word that stood here, if confusions explain this one; None for a word of its own accord."""
+        _, v, misread = self.reading(w)
+        return v if misread else None
+
+    def _reading(self, w: str) -> tuple[float, str, bool]:
+        own = self.cost(w)
         strange = bool(STRANGE.search(w))
-        if not strange and (self.known(w) or any(ch.isdigit() for ch in w) and len(w) < 4):
-            return None
+        stay = own if own is not None else self.unknown + (ODD if strange else 0.0)
+        if len(w) < 2 or not strange and (own is not None and own <= self.sure or any(ch.isdigit() for ch in w) and len(w) < 4):
+            return stay, w, False
         if strange and fold(w) in self.words and not re.search(r"[@†íì\\]", w):
-            return None
-        low = w.lower()
-        step = [low]
+            return stay, w, False
+        best = (stay, w, False)
+        step = {w.lower()}
         for depth in (1, 2):
-            new = []
+            new = set()
             for v in step:
                 for a, b in CONFUSIONS:
                     at = v.find(a)
@@ -149,18 +175,20 @@ class Reader:
                         spots.append(at)
                         at = v.find(a, at + 1)
                     for p in spots:
-                        new.append(v[:p] + b + v[p + len(a) :])
+                        new.add(v[:p] + b + v[p + len(a) :])
                     if len(spots) > 1:
-                        new.append(v.replace(a, b))
-            for v in new:
+                        new.add(v.replace(a, b))
+            for v in sorted(new):
                 if self._plain(v):
-                    return v
-            if depth == 1 and not strange or len(new) > 400:
-                break  # a second confusion only where the first is plain to see
+                    c = depth * CONFUSED + self.cost(v)
+                    if c < best[0]:
+                        best = (c, v, True)
+            if best[2] or not strange:
+                break  # a second confusion only where the first is plain to see and not enough
             step = new
-        if strange and re.search(r"[^\W\d_]{2}[019@†5í][^\W\d_]|[^\W\d_][019@†5í][^\W\d_]{2}", w) and sum(ch.isalpha() for ch in w) >= 4 and not re.search(r"\d{2}", w):
-            return low.translate(str.maketrans("01@†59í", "oiatsgi"))  # no word known, yet no word is written so
-        return None
+        if not best[2] and strange and re.search(r"[^\W\d_]{2}[019@†5í][^\W\d_]|[^\W\d_][019@†5í][^\W\d_]{2}", w) and sum(ch.isalpha() for ch in w) >= 4 and not re.search(r"\d{2}", w):
+            return stay - 1, w.lower().translate(str.maketrans("01@†59í", "oiatsgi")), True  # no word known, yet no word is written so
+        return best
 
     def _plain(self, v: str) -> bool:
         f = fold(v)
@@ -193,99 +221,131 @@ _BLOB = re.compile(r"[\w+/=]{30,}")
 _MAIL = re.compile(r"\S+@[\w\-]+(?:\.[\w\-]+)+|\S+(?:\[@\]|\[at\]|\(at\))\S*", re.I)
 
 
-def decode(text: str, reader: Reader) -> tuple[str, list[tuple[str, str]]]:
-    """(repaired text, [(noise_kind, item)]) of a stream of words without line ends inside words.
+def _token(tok: str, reader: Reader) -> tuple[float, str, str | None, bool]:
+    """(bits, as read, misread word, open): the cheapest reading of one token; open: unknown letters, other arcs may win."""
+    if tok in reader.tokens:
+        return reader.tokens[tok]
+    if len(reader.tokens) > 400_000:
+        reader.tokens.clear()
+    reader.tokens[tok] = out = _read_token(tok, reader)
+    return out
 
-    Viterbi over the tokens: each token is read as it stands, corrected, merged with the next or split.
+
+def _read_token(tok: str, reader: Reader) -> tuple[float, str, str | None, bool]:
+    if not tok or _BLOB.search(tok) or _MAIL.search(tok):
+        return 0.0, tok, None, False
+    pre, w, post = _core(tok)
+    if not w or not any(ch.isalpha() or ch in "@†" for ch in w):
+        return 0.0, tok, None, False
+    if _NUM.match(w) or _DATE.match(w):
+        if fold(w) not in reader.words and not _CARD.match(w):
+            return CONFUSED, pre + clean_number(w) + post, w, False
+        return 0.0, tok, None, False
+    c, v, misread = reader.reading(w)
+    if misread:
+        return c, pre + _case_like(v, w) + post, w, not STRANGE.search(w)
+    return c, tok, None, c >= reader.unknown and len(w) >= 3
+
+
+def decode(text: str, reader: Reader, across: bool = False) -> tuple[str, list[tuple[str, str]]]:
+    """(repaired text, [(noise_kind, item)]) of a stream of words: the cheapest path through the lattice of its readings.
+
+    across: lines were taken out, so a word may go on after blank lines.
     """
     parts = re.split(r"(\s+)", text)
     toks, gaps = parts[0::2], parts[1::2]
-    items: list[tuple[str, str]] = []
     n = len(toks)
-    best: list[tuple[float, int, str]] = [(0.0, 0, "")] + [(1e9, 0, "")] * n
-
-    def offer(j: int, cost: float, i: int, out: str) -> None:
-        if cost < best[j][0]:
-            best[j] = (cost, i, out)
-
-    fixed: dict[int, str] = {}
-    for i, tok in enumerate(toks):
-        c = best[i][0]
-        if not tok or _BLOB.search(tok) or _MAIL.search(tok):
-            offer(i + 1, c, i, tok)
-            continue
-        pre, w, post = _core(tok)
-        if not w:
-            offer(i + 1, c, i, tok)
-            continue
-        if _NUM.match(w) or _DATE.match(w):
-            house = re.match(r"^\d{1,3}[B]$", w) and (post.startswith(",") or _STREET_NEXT.match(" ".join(toks[i + 1 : i + 4])))
-            if fold(w) not in reader.words and not house and not _CARD.match(w):
-                fixed[i] = w
-                offer(i + 1, c, i, pre + clean_number(w) + post)
-                continue
-            offer(i + 1, c, i, tok)
-            continue
-        if not any(ch.isalpha() or ch in "@†" for ch in w):
-            offer(i + 1, c, i, tok)
-            continue
-        v = reader.undo(w)
-        if v is not None:
-            fixed[i] = w
-            offer(i + 1, c + 1, i, pre + _case_like(v, w) + post)
-            continue
-        if reader.known(w) or len(w) < 3:
-            offer(i + 1, c, i, tok)
-            continue
-        offer(i + 1, c + 4, i, tok)
-        if w.isalpha() and w.islower() and not post and i + 1 < n and "\n\n" not in gaps[i]:
-            p2, w2, q2 = _core(toks[i + 1])
-            if not p2 and w2.isalpha() and w2.islower() and len(w + w2) > 6 and not reader.known(w2) and fold(w + w2) in reader.words:
-                offer(i + 2, c + 1.5, i, pre + w + w2 + q2)
-        if w.isalpha() and w.islower() and len(w) > 8:
-            for k in range(4, len(w) - 3):
-                if fold(w[:k]) in reader.words and fold(w[k:]) in reader.words:
-                    offer(i + 1, c + 2, i, pre + w[:k] + " " + w[k:] + post)
+    bits = [0.0] + [1e18] * n
+    back: list[tuple[int, str, tuple]] = [(0, "", ())] * (n + 1)
+
+    def offer(j: int, c: float, i: int, out: str, items: tuple) -> None:
+        if c < bits[j]:
+            bits[j] = c
+            back[j] = (i, out, items)
+
+    for i in range(n):
+        c0 = bits[i]
+        if c0 > 1e17:
+            continue  # inside a longer arc
+        tok = toks[i]
+        c, out, wrong, is_open = _token(tok, reader)
+        if wrong is not None and wrong[-1:] == "B" and re.match(r"^\d{1,3}B$", wrong) and (tok.partition(wrong)[2].startswith(",") or _STREET_NEXT.match(" ".join(toks[i + 1 : i + 4]))):
+            out, wrong = tok, None  # a house number
+        offer(i + 1, c0 + c, i, out, (("misread", wrong),) if wrong is not None else ())
+        if i + 1 == n:
+            break
+        if is_open:
+            pre, w, post = _core(tok)
+            if w.isalpha() and w.islower():
+                if not post and "\n\n" not in gaps[i]:
+                    p2, w2, q2 = _core(toks[i + 1])
+                    if not p2 and w2.isalpha() and w2.islower() and len(w + w2) > 6 and not reader.known(w2) and fold(w + w2) in reader.bits:
+                        offer(i + 2, c0 + TORN + reader.bits[fold(w + w2)], i, pre + w + w2 + q2, ())
+                if len(w) > 8:
+                    for k in range(4, len(w) - 3):
+                        a, b = reader.bits.get(fold(w[:k])), reader.bits.get(fold(w[k:]))
+                        if a is not None and b is not None:
+                            offer(i + 1, c0 + FUSED + a + b, i, pre + w[:k] + " " + w[k:] + post, ())
+        if tok[-1:] in HYPHENS and "\n" in gaps[i]:
+            left, j, items, spent = tok, i, [], 0.0
+            while j + 1 < n and "\n" in gaps[j] and (across or gaps[j].count("\n") == 1):
+                m = _LEFT.search(left)
+                r = _RIGHT.match(toks[j + 1]) if m else None
+                if not r or "@" in toks[j + 1][r.end() : r.end() + 2] or re.match(r"\S*@\S+\.\S", toks[j + 1]):
                     break
-    out: list[str] = []
+                right = r[1].rstrip("'’-") or r[1]
+                more, word = rejoin(m[1], right, left[m.end(1)], reader)
+                spent += more
+                w = _core(word)[1]
+                if w and w.replace("-", "").isalnum() or re.search(r"[@†\\'’]", w):
+                    items.append(("hyphenation", w))
+                left = left[: m.start(1)] + word + toks[j + 1][r.start(1) + len(right) :]
+                j += 1
+                c, out, wrong, _ = _token(left, reader)
+                offer(j + 1, c0 + spent + min(c, reader.unknown), i, out, (*items, *((("misread", wrong),) if wrong is not None else ())))
+    spans: list[str] = []
+    found: list[tuple[str, str]] = []
     j = n
     while j > 0:
-        _, i, s = best[j]
-        out.append(s)
+        i, s, items = back[j]
+        spans.append(s)
+        found += items
         if i:
-            out.append(gaps[i - 1])
+            spans.append(gaps[i - 1])
         j = i
-    for i in fixed:
-        items.append(("misread", fixed[i]))
-    return "".join(reversed(out)), items
+    return "".join(reversed(spans)), found
 
 
 def _case_like(v: str, w: str) -> str:
     letters = [ch for ch in w if ch.isalpha()]
     if len(letters) > 1 and all(ch.isupper() for ch in letters):
         return v.upper()
-    return v[:1].upper() + v[1:] if w[:1].isupper() or w[:1].isdigit() and v[:1].isalpha() and False else v
+    return v[:1].upper() + v[1:] if w[:1].isupper() else v
 
 
 _LEFT = re.compile(rf"([\w'’@†\\/{re.escape(HYPHENS)}]*[^\W\d_])[{HYPHENS}][ \t]*$")
 _RIGHT = re.compile(r"[ \t]*([^\W\d_@†][\w'’\-@†\\/]*|[019@†5][a-zà-ÿ][\w'’\-@†]*)")
 
 
-def rejoin(left: str, right: str, mark: str, reader: Reader) -> str:
-    """The word broken at a line end; a hyphen of the word's own stays."""
+def rejoin(left: str, right: str, mark: str, reader: Reader) -> tuple[float, str]:
+    """(bits of the break, the word) of a word broken at a line end; a hyphen of the word's own stays where that is cheaper.
+
+    A word broken into two unknown ones costs less than these two, as a break is plain to see.
+    """
     one, two = left + right, f"{left}-{right}"
     m = _ELISION.match(one)
-    f1, f2 = fold(one[m.end() :] if m else one), fold(two[m.end() :] if m else two)
-    if f1 in reader.words:
-        return one
-    if f2 in reader.words or "-" not in f1 and len(right) > 2 and fold(right) in reader.words and (fold(left) in reader.words and right[:1].isupper() and left[:1].isupper() and not left.isupper()):
-        return two
-    if mark == "-" and right[:1].isupper() and left[:1].isupper() and not (left.isupper() and right.isupper()):
-        return two
-    return one
-
-
-def read(text: str, reader: Reader, known_lines: frozenset[str], heads_given: list[str] | None = None, line_record: bool = False) -> tuple[str, list[tuple[str, str]]]:
+    skip = m.end() if m else 0
+    c1, c2 = reader.bits.get(fold(one[skip:])), reader.bits.get(fold(two[skip:]))
+    if c1 is None and (c3 := reader.cost(one[skip:])) is not None and "-" in one[skip:]:
+        c1 = c3
+    names = mark == "-" and right[:1].isupper() and left[:1].isupper() and not (left.isupper() and right.isupper())
+    known = len(right) > 2 and reader.known(right) and reader.known(left[skip:]) and right[:1].isupper() and left[:1].isupper() and not left.isupper()
+    own = c2 if c2 is not None else reader.unknown - 1 if names or known else reader.unknown + OWN_HYPHEN
+    plain = c1 if c1 is not None else reader.unknown
+    return (BROKEN, one) if plain <= own else (BROKEN, two)
+
+
+def read(text: str, reader: Reader, known_lines: frozenset[str], heads_given: list[str] | None = None, line_record: bool = False, with_text: bool = True) -> tuple[str, list[tuple[str, str]]]:
     """(repaired text, items) of one document or lab line."""
     lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
     items: list[tuple[str, str]] = []
@@ -309,34 +369,8 @@ def read(text: str, reader: Reader, known_lines: frozenset[str], heads_given: li
     items += [("running_header", lines[i].replace("\f", "").strip()) for i in sorted(heads)]
     items += [("page_number", lines[i].replace("\f", "").strip()) for i in sorted(pages)]
     body = [x.replace("\f", "") for i, x in enumerate(lines) if i not in heads and i not in pages]
-    gone = bool(heads or pages)
-    out: list[str] = []
-    i = 0
-    while i < len(body):
-        line = body[i]
-        while True:
-            m = _LEFT.search(line)
-            if not m:
-                break
-            j = i + 1
-            while j < len(body) and not body[j].strip() and gone and j - i < 4:
-                j += 1
-            r = _RIGHT.match(body[j]) if j < len(body) and body[j].strip() else None
-            if not r or "@" in body[j][r.end() : r.end() + 2] or re.match(r"\S*@\S+\.\S", body[j][r.start(1) :]):
-                break
-            left, right = m[1], r[1].rstrip("'’-") or r[1]
-            mark = line[m.end(1)]
-            word = rejoin(left, right, mark, reader)
-            w = _core(word)[1]
-            if w and w.replace("-", "").isalnum() or re.search(r"[@†\\'’]", w):
-                items.append(("hyphenation", w))
-            end = r.start(1) + len(right)
-            line = line[: m.start(1)] + word + body[j][end:]
-            i = j
-        out.append(line)
-        i += 1
-    fixed, more = decode("\n".join(out), reader)
-    return (fixed if line_record else paragraphs(fixed, known_lines)), items + more
+    fixed, more = decode("\n".join(body), reader, across=bool(heads or pages))
+    return (fixed if line_record or not with_text else paragraphs(fixed, known_lines)), items + more
 
 
 def paragraphs(text: str, known_lines: frozenset[str] = frozenset()) -> str:
@@ -395,8 +429,8 @@ def paragraphs(text: str, known_lines: frozenset[str] = frozenset()) -> str:
 _LEX = re.compile(r"[^\W_]+(?:[-'’][^\W\d_]+)*")
 
 
-def lexicon(docs: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
-    """(folded words, shapes of short lines) that stand in at least MIN_DOCS unscanned documents."""
+def lexicon(docs: DataFrame) -> tuple[dict[str, int], frozenset[str]]:
+    """(folded words with the documents they stand in, shapes of short lines) of the unscanned documents."""
     clean = docs.where("page_scan = false")
     if clean.limit(1).count() == 0:
         clean = docs
@@ -416,8 +450,6 @@ def lexicon(docs: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
                 own = set()
                 for m in _LEX.finditer(t):
                     w = fold(m[0])
-                    if len(w) > 40:
-                        continue
                     e = _ELISION.match(w)
                     own.add(w[e.end() :] if e else w)
                     if "-" in w:
@@ -430,11 +462,22 @@ def lexicon(docs: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
         if words:
             yield out()
 
-    stats = clean.select("full_text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_DOCS)
-    stats = cut(stats, "lexicon")
-    w = stats.where(~F.col("word").startswith("\n")).orderBy(F.desc("n"), "word").limit(LEXICON_WORDS).select("word").collect()  # bounded
-    x = stats.where(F.col("word").startswith("\n")).orderBy(F.desc("n"), "word").limit(LEXICON_LINES).select("word").collect()  # bounded
-    return frozenset(r["word"] for r in w), frozenset(r["word"][1:] for r in x)
+    stats = cut(clean.select("full_text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "lexicon")
+    least = max(MIN_DOCS, int(clean.count() * SHARE))
+    rows = stats.where(F.col("n") >= least).collect()  # bounded by SHARE, whatever the corpus
+    return {r["word"]: r["n"] for r in rows if r["word"][:1] != "\n"}, frozenset(r["word"][1:] for r in rows if r["word"][:1] == "\n")
+
+
+_READERS: dict[int, Reader] = {}
+
+
+def reader_of(shared) -> Reader:
+    """One reader per worker process and lexicon, with what it has read so far."""
+    key = id(shared.value)
+    if key not in _READERS:
+        _READERS.clear()
+        _READERS[key] = Reader(shared.value[0])
+    return _READERS[key]
 
 
 def noise(docs: DataFrame, lines: DataFrame, with_text: bool = True) -> DataFrame:
@@ -444,25 +487,26 @@ def noise(docs: DataFrame, lines: DataFrame, with_text: bool = True) -> DataFram
     """
     words, known = lexicon(docs)
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((words, known))  # bounded by LEXICON_WORDS and LEXICON_LINES
+    shared = sc.broadcast((words, known))  # bounded by SHARE
     kind = "array<struct<noise_kind:string,item:string>>"
 
     def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(shared.value[0])
+        reader = reader_of(shared)
         for pdf in batches:
             rows = []
             for i, t in zip(pdf["document_id"], pdf["full_text"]):
-                fixed, items = read(t, reader, shared.value[1])
+                fixed, items = read(t, reader, shared.value[1], with_text=with_text)
                 rows.append(("parsed_document", i, i, fixed if with_text else None, [{"noise_kind": k, "item": v} for k, v in dict.fromkeys(items)]))
             yield pd.DataFrame(rows, columns=["record_kind", "record_id", "document_id", "text", "items"])
 
     schema = f"record_kind string, record_id string, document_id string, text string, items {kind}"
     scanned = docs.where("page_scan is null or page_scan").where("full_text is not null").select("document_id", "full_text")
     of_docs = cut(scanned.mapInPandas(documents, schema), "pages")
-    heads = of_docs.groupBy("document_id").agg(F.first("items").alias("items")).select("document_id", F.transform(F.filter("items", lambda x: x["noise_kind"] == "running_header"), lambda x: x["item"]).alias("heads"))
+    top = F.transform(F.filter("items", lambda x: x["noise_kind"] == "running_header"), lambda x: x["item"])
+    heads = of_docs.groupBy("document_id").agg(F.max(top).alias("heads"))  # repeated rows of a document agree
 
     def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(shared.value[0])
+        reader = reader_of(shared)
         for pdf in batches:
             rows = []
             for i, d, t, h in zip(pdf["line_id"], pdf["document_id"], pdf["raw_text"], pdf["heads"]):

@@ -40,6 +40,27 @@ def test_hyphens(text, word):
     assert ("hyphenation", word) in items and "\n" not in fixed
 
 
+def test_the_frequent_reading_wins():
+    r = scans.Reader({"dose": 900, "clore": 3, "close": 4, "foie": 5000, "foic": 0 + 1})
+    assert scans.decode("cl0se", r)[0] == "close"  # one confusion beats two
+    r = scans.Reader({"sein": 900, "seln": 2, "sem": 2, "rein": 500})
+    assert scans.decode("seín", r) == ("sein", [("misread", "seín")])
+    r = scans.Reader({"teste": 4000, "testé": 3, "a": 9})
+    assert scans.decode("t3st3", r)[1] == [("misread", "t3st3")]
+
+
+def test_arcs_compete_in_one_lattice():
+    r = scans.Reader({"hepatique": 700, "normal": 900, "foie": 800, "pati": 1, "ent": 1, "patient": 900})
+    assert scans.decode("hépat ique", r)[0] == "hépatique"
+    assert scans.decode("foienormalhepatique foie", r)[0].startswith("foienormal")  # two cuts are none of the arcs
+    assert scans.decode("foienormal foie", r)[0] == "foie normal foie"
+    # the words of a break stay one word though both parts are known
+    assert scans.decode("le pati-\nent va", r) == ("le patient va", [("hyphenation", "patient")])
+    assert scans.decode("le pat¡-\n\n\n\n\nent va", r, across=True)[0].count("\n") == 5
+    assert ("hyphenation", "patient") in scans.decode("le pati-\n\n\n\n\n\nent va", r, across=True)[1]
+    assert scans.decode("le hépa-\nt1que va", r)[1] == [("hyphenation", "hépat1que"), ("misread", "hépat1que")]
+
+
 def test_headers_and_page_numbers():
     text = "CH Orvane   1/2\nAlbumine 4\nPage 1 sur 2\n\x0cCH Orvanc   2/2\nsérum stable\n\tPage 2 sur 2"
     fixed, items = scans.read(text, R, frozenset())
