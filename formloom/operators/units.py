@@ -36,6 +36,8 @@ UNIT_TEXT = (
 )
 PAIR = rf"(?<![\w.,])({SCANNED})[{BLANKS}\t]?({UNIT_TEXT})(?![\w³/^])"
 
+_PAIR_NUMBER = f"(?i)^{SCANNED}(?=[{BLANKS}\t]?(?:{UNIT_TEXT})$)"
+
 
 #: Spellings and what they become, in this order (fixed values).
 SPELLINGS = (
@@ -113,12 +115,10 @@ def unit_sizes(unit_ref: DataFrame) -> DataFrame:
 
 def text_unit(text: Column, number: Column, by_number_only: bool) -> Column:
     """The unit that follows `number` in a text; else, if allowed, the unit of the first number that has one."""
-    nums = F.regexp_extract_all(text, F.lit(f"(?i){PAIR}"), F.lit(1))
-    units = F.regexp_extract_all(text, F.lit(f"(?i){PAIR}"), F.lit(2))
-    pairs = F.arrays_zip(
-        F.transform(nums, lambda x: _double(F.translate(x, DIGITS_LIKE, DIGITS))).alias("n"),
-        units.alias("u"),
-    )
+    # the long pattern runs once; number and unit are told apart in the short matches
+    hits = F.regexp_extract_all(text, F.lit(f"(?i){PAIR}"), F.lit(0))
+    split = F.transform(hits, lambda x: F.struct(F.regexp_extract(x, _PAIR_NUMBER, 0).alias("n"), x.alias("x")))
+    pairs = F.transform(split, lambda p: F.struct(_double(F.translate(p["n"], DIGITS_LIKE, DIGITS)).alias("n"), F.regexp_replace(F.substr(p["x"], F.length(p["n"]) + 1), f"^[{BLANKS}\t]", "").alias("u")))
     same = F.filter(pairs, lambda p: F.abs(p["n"] - number) <= F.abs(number) * 1e-9)
     hit = F.try_element_at(same, F.lit(1))["u"]
     return hit if by_number_only else F.coalesce(hit, F.try_element_at(pairs, F.lit(1))["u"])
@@ -162,7 +162,7 @@ def with_units(rows: DataFrame, key: str, number: str, unit: str, unit_ref: Data
 
 def name_part(raw: Column) -> Column:
     """What stands before the value in a printed line."""
-    return F.regexp_extract(raw, r"^\s*\|?\s*([^\n\t|:=]*?)\s*(?:\.{3,}|[\n\t|:=]|$)", 1)
+    return F.trim(F.regexp_extract(raw, r"^\s*+\|?\s*+((?:[^\n\t|:=.]|\.(?!\.\.))*+)", 1))
 
 
 def lab_quantities(lines: DataFrame, unit_ref: DataFrame, key: str = "analyte") -> DataFrame:
@@ -170,7 +170,7 @@ def lab_quantities(lines: DataFrame, unit_ref: DataFrame, key: str = "analyte")
     v, raw = F.col("value"), F.col("raw_text")
     rest = F.coalesce(F.expr("substring(raw_text, length(_lead) + 1)"), raw)
     df = (
-        lines.withColumn("_lead", F.regexp_extract(raw, r"^\s*\|?[^\n\t|:=]*?(?:\.{3,}|[\n\t|:=])", 0))
+        lines.withColumn("_lead", F.regexp_extract(raw, r"^\s*+\|?(?:[^\n\t|:=.]|\.(?!\.\.))*+(?:\.{3,}|[\n\t|:=])", 0))
         .withColumn("number", F.coalesce(v["n"], number_of(v["s"])))
         .withColumn("bound", bound_of(v["s"]))
     )
