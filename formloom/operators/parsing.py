@@ -33,9 +33,9 @@ IMAGING_PARTS = (
     ("compte rendu de scanner", 0.28), ("compte rendu de tomodensitom", 0.28), ("compte rendu d'irm", 0.22), ("compte-rendu de scanner", 0.28), ("abdomen", 0.08), ("pelvien", 0.08),
     ("injection", 0.05), ("contraste", 0.05), ("reconstruction", 0.06), ("mm coronal", 0.07), ("mm sagittal", 0.07),
 )
-VALUE_UNIT = r"(?iu)[0-9]+(?:[.,][0-9]+)?\s*(?:(?:g/l|mg/l|u/l|µmol/l|umol/l|ui/l|mmol/l)\b|%\b)"
+VALUE_UNIT = r"(?iu)\d+(?:[.,]\d+)?\s*(g/l|mg/l|u/l|µmol/l|umol/l|ui/l|mmol/l|%)\b"
 PATHOLOGY_STRONG = (
-    r"\b(?:biopsies|biopsie|lame\(s\)?|coloration|immunohistochimi\w*|ihc\b|gleason|anatomopatholog\w*|histolog\w*|cytoponction|cytologie\s+asc|reseau\s+nestin|who\s+20[0-9][0-9])\b"
+    r"\b(?:biopsie|biopsies|lame\(s\)?|coloration|immunohistochimi\w*|ihc\b|gleason|anatomopatholog\w*|histolog\w*|cytoponction|cytologie\s+asc|reseau\s+nestin|who\s+20\d\d)\b"
 )
 PATHOLOGY_CONTEXT = r"\b(?:compte\s+rendu\s+anatomopatholog\w*|rapport\s+d['’]?\s*anatomopatholog\w*|examen\s+anatomopatholog\w*)\b"
 LETTER = (

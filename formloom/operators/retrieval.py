@@ -1,20 +1,138 @@
-"""Retrieval: lexical, dense and BM25 rankings, fusion, reranking, recall.
+"""Retrieval: lexical, dense and BM25 rankings, fusion, reranking, recall, hybrid search.
 
 Queries are a stated set (rows with an id divisible by 100, or a small table); all rows are candidates.
-The query side is broadcast in blocks of a fixed size, however many there are, and the rankings of the
-blocks are united. Blank queries have no hits; ties fall to the smallest id; null texts match nothing.
+Queries go in blocks of a fixed size, however many there are; each block is broadcast, every task scores its
+passages against it and passes on only its own k best per query. So no term, however frequent, is a join
+key, and what is shuffled is queries * k per task. The rankings of the blocks are united.
+Blank queries have no hits in `hybrid`; ties fall to the smallest id; null texts match nothing.
 """
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Most queries that are broadcast as one block, and most that a batch is multiplied with at a time.
-QUERY_BLOCK, QUERY_ROWS = 10_000, 500
+from formloom.functions.text import blank
+
+#: Most queries that are broadcast as one block (vectors, texts), and most scored at a time within it.
+QUERY_BLOCK, TEXT_BLOCK, QUERY_ROWS = 10_000, 1_000, 500
 #: Fusion constant and BM25 parameters (published defaults).
 RRF_C, BM25_K1, BM25_B = 60.0, 1.2, 0.75
+_TERM = re.compile("[a-z0-9]+")
+
+
+def _blocks(rows: Iterable, size: int) -> Iterator[list]:
+    block: list = []
+    for r in rows:
+        block.append(r)
+        if len(block) == size:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
+class _Best:
+    """The k best (score, id) of each query so far, ties to the smallest id."""
+
+    def __init__(self, n: int, k: int) -> None:
+        self.k, self.scores, self.ids = k, [None] * n, [None] * n
+
+    def add(self, first: int, scores, own, least: float | None) -> None:
+        """scores: queries x passages of queries first..; own: ids of the passages; least: scores at or below it don't count."""
+        import numpy as np
+
+        for q in range(scores.shape[0]):
+            s, i = scores[q], own
+            if least is not None:
+                keep = s > least
+                s, i = s[keep], own[keep]
+            if self.scores[first + q] is not None:
+                s, i = np.concatenate([self.scores[first + q], s]), np.concatenate([self.ids[first + q], i])
+            if len(s) > self.k:
+                floor = np.partition(s, len(s) - self.k)[len(s) - self.k]
+                keep = s >= floor
+                s, i = s[keep], i[keep]
+            order = np.lexsort((i, -s))[: self.k]
+            self.scores[first + q], self.ids[first + q] = s[order], i[order]
+
+    def frame(self, names: list):
+        import numpy as np
+        import pandas as pd
+
+        have = [q for q, i in enumerate(self.ids) if i is not None and len(i)]
+        if not have:
+            return None
+        return pd.DataFrame({"query_id": np.repeat([names[q] for q in have], [len(self.ids[q]) for q in have]), "id": np.concatenate([self.ids[q] for q in have]), "score": np.concatenate([self.scores[q] for q in have])})
+
+
+def _text_block(passages: DataFrame, names: list, postings: dict, weigh: Callable, finish: Callable, least: float | None, k: int, kind: str, idk: str) -> DataFrame:
+    """(query_id, id, score): per task the k best passages of each query of one block.
+
+    postings: term -> (query numbers, weights); weigh(text, postings): {term: weight} of a passage; finish: scores from sums.
+    """
+    import numpy as np
+
+    shared = passages.sparkSession.sparkContext.broadcast((names, postings))
+
+    def run(batches):
+        names, postings = shared.value
+        best = _Best(len(names), k)
+        for pdf in batches:
+            pdf = pdf[pdf["text"].notna()]
+            if not len(pdf) or not names:
+                continue
+            own = pdf["id"].to_numpy()
+            at: dict = {}
+            for d, text in enumerate(pdf["text"]):
+                for term, w in weigh(text, postings).items():
+                    at.setdefault(term, ([], []))
+                    at[term][0].append(d)
+                    at[term][1].append(w)
+            held = [(postings[t], np.asarray(d), np.asarray(w, np.float64)) for t, (d, w) in at.items()]
+            for first in range(0, len(names), QUERY_ROWS):
+                n = min(QUERY_ROWS, len(names) - first)
+                sums = np.zeros((n, len(own)))
+                for (q, qw), d, w in held:
+                    lo, hi = np.searchsorted(q, (first, first + n))
+                    if lo < hi:
+                        sums[np.ix_(q[lo:hi] - first, d)] += np.outer(qw[lo:hi], w)
+                best.add(first, finish(sums), own, least)
+        out = best.frame(names)
+        if out is not None:
+            yield out
+
+    return passages.select("id", "text").mapInPandas(run, f"query_id {kind}, id {idk}, score double")
+
+
+def _postings(rows: list, terms_of: Callable[[str], dict]) -> dict:
+    """term -> (query numbers, weights) of a block of queries."""
+    import numpy as np
+
+    lists: dict = {}
+    for q, r in enumerate(rows):
+        for t, w in terms_of(r["query"]).items():
+            lists.setdefault(t, ([], []))
+            lists[t][0].append(q)
+            lists[t][1].append(w)
+    return {t: (np.asarray(q, np.int64), np.asarray(w, np.float64)) for t, (q, w) in lists.items()}
+
+
+def _by_blocks(queries: DataFrame, passages: DataFrame, k: int, one: Callable[[list], DataFrame]) -> DataFrame:
+    """The rankings of all blocks of queries, united."""
+    found = None
+    for rows in _blocks(queries.where("query is not null").select("query_id", "query").toLocalIterator(), TEXT_BLOCK):
+        part = one(rows)
+        found = part if found is None else found.unionAll(part)
+    if found is None:
+        found = one([])
+    return top_k(found, ["query_id"], "score", "id", k).select("query_id", "id", "score", "rank")
 
 
 def top_k(df: DataFrame, by: list[str], score: str, tie: str, k: int) -> DataFrame:
@@ -31,47 +149,59 @@ def family_first_k(chunks: DataFrame, families: list[str], k: int) -> DataFrame:
     return tagged.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("document_id", "family", "rank", "chunk_id", score.alias("score"))
 
 
+def _words(text: str) -> Counter:
+    return Counter(w for w in text.lower().split() if len(w) > 2)
+
+
+def _words_inside(text: str, postings: dict) -> dict:
+    """The query words a passage holds, also inside its longer words: a word without blanks stands in a text
+    exactly if it stands in one of its tokens."""
+    sizes = postings.get("", None)
+    if sizes is None:
+        sizes = postings[""] = sorted({len(w) for w in postings})
+    out: dict = {}
+    for token in set(text.lower().split()):
+        for n in sizes:
+            if n > len(token):
+                break
+            for i in range(len(token) - n + 1):
+                w = token[i : i + n]
+                if w in postings:
+                    out[w] = 1.0
+    return out
+
+
 def lexical(queries: DataFrame, passages: DataFrame, k: int) -> DataFrame:
-    """(query_id, id, score, rank): passages that hold the query's words, also inside longer words.
+    """(query_id, id, score, rank): passages by how many of the query's words stand in them, also inside longer words.
 
-    score = min(1, 0.2 + 0.15 * words found); only words above two letters count. A word without
-    blanks stands in a passage exactly if it stands in one of its tokens, so containment is decided
-    once per distinct token: an equality join on the word's first three letters, then a test.
+    score = min(1, 0.2 + 0.15 * words found); only words above two letters count, a repeated word counts
+    again. A passage without any scores 0.2, so every query has its k passages.
     """
-    cut3 = F.transform(F.sequence(F.lit(1), F.length("token") - 2), lambda i: F.substr(F.col("token"), i, F.lit(3)))
-    q = queries.select("query_id", F.explode(F.array_distinct(F.split(F.lower("query"), r"\s+"))).alias("w")).where("length(w) > 2")
-    post = passages.select("id", F.explode(F.array_distinct(F.split(F.lower("text"), r"\s+"))).alias("token")).where("length(token) > 2")
-    grams = post.select("token").distinct().select("token", F.explode(F.array_distinct(cut3)).alias("g"))
-    words = q.select("w").distinct().withColumn("g", F.substring("w", 1, 3))
-    inside = grams.join(words, "g").where(F.contains("token", F.col("w"))).select("token", "w").distinct()
-    n = post.join(inside, "token").select("id", "w").distinct().join(q, "w").groupBy("query_id", "id").count()
-    return top_k(n.select("query_id", "id", F.round(F.least(F.lit(1.0), 0.2 + 0.15 * F.col("count")), 6).alias("score")), ["query_id"], "score", "id", k)
+    import numpy as np
 
+    kind, idk = dict(queries.dtypes)["query_id"], dict(passages.dtypes)["id"]
 
-def dense(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """(query_id, id, score, rank) by cosine, exact: every vector against the stated queries.
+    def one(rows: list) -> DataFrame:
+        return _text_block(passages, [r["query_id"] for r in rows], _postings(rows, _words), _words_inside, lambda s: np.round(np.minimum(1.0, 0.2 + 0.15 * s), 6), None, k, kind, idk)
 
-    Vectors go in batches against blocks of queries, each held as a matrix (numpy inside an Arrow batch);
-    each batch passes on only its own k best per query, so what is shuffled is queries * k per batch.
-    """
+    return _by_blocks(queries, passages, k, one)
+
+
+def dense(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """(query_id, id, score, rank) by cosine, exact: every vector against the stated queries, blocks of queries one after the other."""
     kind, idk = dict(queries.dtypes)["query_id"], dict(vectors.dtypes)["id"]
     found = None
-    block: list = []
-    for r in queries.select("query_id", "embedding").where("embedding is not null").toLocalIterator():
-        block.append(r)
-        if len(block) == QUERY_BLOCK:
-            part = _dense_block(block, vectors, k, kind, idk)
-            found, block = part if found is None else found.unionAll(part), []
-    if block or found is None:
-        part = _dense_block(block, vectors, k, kind, idk)
+    for rows in _blocks(queries.select("query_id", "embedding").where("embedding is not null").toLocalIterator(), QUERY_BLOCK):
+        part = _dense_block(rows, vectors, k, kind, idk)
         found = part if found is None else found.unionAll(part)
+    if found is None:
+        found = _dense_block([], vectors, k, kind, idk)
     return top_k(found, ["query_id"], "score", "id", k)
 
 
 def _dense_block(rows: list, vectors: DataFrame, k: int, kind: str, idk: str) -> DataFrame:
-    """(query_id, id, score): per batch of vectors, the k best of each query of one block."""
+    """(query_id, id, score): per task the k best vectors of each query of one block."""
     import numpy as np
-    import pandas as pd
 
     ids = [r["query_id"] for r in rows]
     m = np.asarray([r["embedding"] for r in rows], np.float64).reshape(len(rows), -1) if rows else np.zeros((0, 0))
@@ -80,6 +210,7 @@ def _dense_block(rows: list, vectors: DataFrame, k: int, kind: str, idk: str) ->
 
     def run(batches):
         ids, m = shared.value
+        best = _Best(len(ids), k)
         for pdf in batches:
             pdf = pdf[pdf["embedding"].notna()]
             if not len(pdf) or not len(ids):
@@ -88,11 +219,10 @@ def _dense_block(rows: list, vectors: DataFrame, k: int, kind: str, idk: str) ->
             x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
             own = pdf["id"].to_numpy()
             for a in range(0, len(ids), QUERY_ROWS):
-                out = []
-                for q, s in enumerate(np.round(m[a : a + QUERY_ROWS] @ x.T, 6), a):
-                    order = np.lexsort((own, -s))[:k]
-                    out.append(pd.DataFrame({"query_id": ids[q], "id": own[order], "score": s[order]}))
-                yield pd.concat(out)
+                best.add(a, np.round(m[a : a + QUERY_ROWS] @ x.T, 6), own, None)
+        out = best.frame(ids)
+        if out is not None:
+            yield out
 
     return vectors.select("id", "embedding").mapInPandas(run, f"query_id {kind}, id {idk}, score double")
 
@@ -103,19 +233,53 @@ def terms(df: DataFrame, key: str, text: str) -> DataFrame:
     return t.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
+def _terms_once(text: str) -> dict:
+    return dict.fromkeys(_TERM.findall(text.lower()), 1.0)
+
+
+def corpus_statistics(passages: DataFrame) -> tuple[DataFrame, int, float]:
+    """((term, df), number of passages with terms, their mean length): counted over all passages, terms summed before the shuffle."""
+    tokens = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))
+    row = passages.select(F.size(tokens).alias("dl")).where("dl > 0").agg(F.count("*").alias("n"), F.avg("dl").alias("a")).first()
+    df = passages.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    return df, row["n"] or 0, row["a"] or 1.0
+
+
 def bm25(queries: DataFrame, passages: DataFrame, k: int, k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """(query_id, id, score, rank) by Okapi BM25; corpus statistics over all passages, postings only of query terms."""
-    lengths = passages.select("id", F.size(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))).alias("dl")).where("dl > 0")
-    stats = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avg_dl"))
-    q = terms(queries, "query_id", "query").select("query_id", "term")
-    # the query's terms prune the postings first; AQE broadcasts them only below its measured threshold
-    post = terms(passages, "id", "text").join(q.select("term").distinct(), "term", "left_semi")
-    df = post.groupBy("term").agg(F.count("*").alias("df"))
-    w = post.join(df, "term").join(lengths, "id").join(F.broadcast(stats), F.lit(True))  # stats: one row
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avg_dl")))
-    s = w.select("term", "id", weight.alias("w")).join(q, "term").groupBy("query_id", "id").agg(F.round(F.sum("w"), 6).alias("score"))
-    return top_k(s, ["query_id"], "score", "id", k)
+    """(query_id, id, score, rank) by Okapi BM25; corpus statistics over all passages. A query's words count once."""
+    import numpy as np
+
+    spark = passages.sparkSession
+    kind, idk = dict(queries.dtypes)["query_id"], dict(passages.dtypes)["id"]
+    df, n, avg = corpus_statistics(passages)
+
+    def one(rows: list) -> DataFrame:
+        postings = _postings(rows, _terms_once)
+        known = df.join(F.broadcast(spark.createDataFrame([(t,) for t in postings], "term string")), "term") if postings else df.limit(0)  # the terms of one block
+        idf = {r["term"]: math.log(1 + (n - r["df"] + 0.5) / (r["df"] + 0.5)) for r in known.collect()}
+        postings = {t: (q, w * idf[t]) for t, (q, w) in postings.items() if t in idf}
+
+        def weigh(text: str, postings: dict) -> dict:
+            tf = Counter(_TERM.findall(text.lower()))
+            base = k1 * (1 - b + b * sum(tf.values()) / avg)
+            return {t: m * (k1 + 1) / (m + base) for t, m in tf.items() if t in postings}
+
+        return _text_block(passages, [r["query_id"] for r in rows], postings, weigh, lambda s: np.round(s, 6), 0.0, k, kind, idk)
+
+    return _by_blocks(queries, passages, k, one)
+
+
+def overlap(queries: DataFrame, passages: DataFrame, k: int) -> DataFrame:
+    """(query_id, id, score, rank) by the number of different words shared."""
+    kind, idk = dict(queries.dtypes)["query_id"], dict(passages.dtypes)["id"]
+
+    def shared(text: str, postings: dict) -> dict:
+        return {t: 1.0 for t in set(_TERM.findall(text.lower())) if t in postings}
+
+    def one(rows: list) -> DataFrame:
+        return _text_block(passages, [r["query_id"] for r in rows], _postings(rows, _terms_once), shared, lambda s: s, 0.0, k, kind, idk)
+
+    return _by_blocks(queries, passages, k, one)
 
 
 def fuse(a: DataFrame, b: DataFrame, k: int, c: float = RRF_C) -> DataFrame:

@@ -569,12 +569,14 @@ def _queries(s, d):
     return docs.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query")), docs.select(F.col("doc_id").alias("id"), "text")
 
 
+# written from the rule: every passage scores, a repeated word of the query counts again, words count inside longer ones
 @add(
     "lexical_search_topk",
-    r"""WITH q AS (SELECT doc_id AS query_id, unnest(list_distinct(string_split_regex(lower(text), '\s+'))) AS w FROM documents WHERE doc_id % 100 = 0 AND text IS NOT NULL), p AS (SELECT doc_id AS id, unnest(list_distinct(string_split_regex(lower(text), '\s+'))) AS token FROM documents WHERE text IS NOT NULL),
-v AS (SELECT DISTINCT token FROM p WHERE length(token) > 2), w AS (SELECT DISTINCT w FROM q WHERE length(w) > 2), m AS (SELECT token, w FROM v, w WHERE contains(token, w)),
-n AS (SELECT query_id, id, count(*) AS n FROM (SELECT DISTINCT id, w FROM p JOIN m USING (token)) x JOIN q USING (w) GROUP BY ALL),
-r AS (SELECT query_id, id, round(least(1.0::double, 0.2::double + 0.15::double * n), 6) AS score FROM n), k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM r)
+    r"""WITH q AS (SELECT doc_id AS query_id, unnest(string_split_regex(trim(regexp_replace(lower(text), '\s+', ' ', 'g'), ' '), ' ')) AS w FROM documents WHERE doc_id % 100 = 0 AND text IS NOT NULL),
+c AS (SELECT query_id, w, count(*) AS m FROM q WHERE length(w) > 2 GROUP BY ALL), p AS (SELECT doc_id AS id, lower(text) AS t FROM documents WHERE text IS NOT NULL),
+x AS (SELECT DISTINCT w FROM c), h AS (SELECT id, w FROM p JOIN x ON contains(t, w)), n AS (SELECT query_id, id, sum(m) AS hits FROM c JOIN h USING (w) GROUP BY ALL),
+r AS (SELECT a.query_id, p.id, round(least(1.0::double, 0.2::double + 0.15::double * coalesce(hits, 0)), 6) AS score FROM (SELECT DISTINCT query_id FROM (SELECT doc_id AS query_id FROM documents WHERE doc_id % 100 = 0 AND text IS NOT NULL)) a CROSS JOIN p LEFT JOIN n ON n.query_id = a.query_id AND n.id = p.id),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM r)
 SELECT query_id, id, score, rank::int AS rank FROM k WHERE rank <= 10""",
 )
 def lexical_search_topk(s, d):
@@ -602,12 +604,16 @@ SELECT query_id, id, score, rank::int AS rank FROM k WHERE rank <= 10""",
 )
 def rrf_fusion(s, d):
     q, p = _queries(s, d)
-    t, u = retrieval.terms(p, "id", "text"), retrieval.terms(q, "query_id", "query")
-    overlap = t.join(u.select("query_id", "term"), "term").groupBy("query_id", "id").agg(F.count("*").alias("score"))
-    return retrieval.fuse(retrieval.bm25(q, p, 20), retrieval.top_k(overlap, ["query_id"], "score", "id", 20), 10)
+    return retrieval.fuse(retrieval.bm25(q, p, 20), retrieval.overlap(q, p, 20), 10)
 
 
-@add("rerank_topk")
+@add(
+    "rerank_topk",
+    f"""WITH {_BM}, h AS (SELECT query_id, id, rank AS first_rank FROM bm WHERE rank <= 20), w AS (SELECT doc_id AS id, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS l FROM documents WHERE text IS NOT NULL),
+sh AS (SELECT query_id, h.id, first_rank, round(coalesce(len(list_intersect(a.l, b.l))::double / nullif(len(a.l), 0), 0.0), 6) AS score FROM h JOIN w a ON a.id = h.query_id JOIN w b ON b.id = h.id),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, first_rank, id) AS rank FROM sh)
+SELECT query_id, id, score, first_rank::int AS first_rank, rank::int AS rank FROM k WHERE rank <= 5""",
+)
 def rerank_topk(s, d):
     q, p = _queries(s, d)
     return retrieval.rerank(retrieval.bm25(q, p, 20), q, p, 5)

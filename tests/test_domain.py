@@ -112,8 +112,9 @@ def test_packing_keeps_all_lines(spark):
         ("Biochimie\nASAT ........ 28.5 U/L 5 à 40", [("ASAT", 28.5, "U/L")]),
         ("Testostérone ......... Inf à 0.8 ng/ml", [("Testostérone", "Inf à 0.8", "ng/ml")]),
         ("Cellules ....... Très nombreuses\nCristaux ....... Absentes", [("Cellules", "Très nombreuses", None), ("Cristaux", "Absentes", None)]),
-        ("TP ......\nINR ......\n121 %\n1", [("TP", 121, "%"), ("INR", 1, None)]),
-        ("Créatinine ......\nUrée ......\n61.9 umol/L\n5.47 mg/L\n4 mmol/L", [("Créatinine", 61.9, "umol/L"), ("Urée", 4, "mmol/L")]),
+        ("TP ......\nINR ......\nRatio ......\n121 %\n1\n1.5", [("TP", 121, "%"), ("INR", 1, None), ("Ratio", 1.5, None)]),
+        ("TP ......\nINR ......\n121 %\n1", [("INR", 121, "%")]),  # two names are no column: the result is the nearest name's
+        ("TP ......\nCréatinine ......\nUrée ......\n80 %\n61.9 umol/L\n5.47 mg/L\n4 mmol/L\n1 à 2", [("TP", 80, "%"), ("Créatinine", 61.9, "umol/L"), ("Urée", 4, "mmol/L")]),
         ("739.4 /mL\nAbsent\nLEUCOCYTES ......\nCristaux ......", [("LEUCOCYTES", 739.4, "/mL"), ("Cristaux", "Absent", None)]),
         ("Testostérone .......\n| Homme | 2 à 9 |\n2 à 9\n0.4 ng/ml", [("Testostérone", 0.4, "ng/ml")]),
         ("", []),
@@ -124,6 +125,40 @@ def test_dotted_rows(text, rows):
     assert [(r["name"], r["value"], r["unit"]) for r in labrows.read_rows(text)] == rows
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        # one report a layout: (name, result, unit, confidence)
+        ("Biochimie\nAST ........\n28.5 U/L\nInf. à 55\nPage 1\n", [("AST", 28.5, "U/L", 0.9)]),
+        (
+            "Hematologie NumerationGlobulaire Globules rouges........ 4.4 10^6/mm3 4.2 à 5.4 FormuleLeucocytaire Neutrophiles........ 25% : 1652 /mm3 Hemostase INR........ 0.9 1.0 à 1.0 Biochimie Transaminase ASAT (S.G.O.T)........ 28.5 U/L 5 à 34",
+            [("Globules rouges", 4.4, "10^6/mm3", 0.9), ("Neutrophiles", 25, "%", 0.9), ("INR", 0.9, None, 0.82), ("Transaminase ASAT (S.G.O.T)", 28.5, "U/L", 0.9)],
+        ),
+        ("Hormonologie\n| T.S.H........ | 2.1 mUI/L | 0.35 à 4.94 |\n| 25 OH vitamine D........ | 24.2 ng/mL | 30 à 60 |", [("T.S.H.", 2.1, "mUI/L", 0.9), ("25 OH vitamine D", 24.2, "ng/mL", 0.9)]),
+        ("Testostérone........\n\nInf à 0.8 ng/ml\n\n0.3 à 1\n\nParathormone........\n\n2.3 pmol/L\n", [("Testostérone", "Inf à 0.8", "ng/ml", 0.85), ("Parathormone", 2.3, "pmol/L", 0.9)]),
+        ("Testostérone........\n\n## Valeurs usuelles\n\n| Fille | Garçon |\n\nsup à 0.4 ng/ml\n", [("Testostérone", "Sup à 0.4", "ng/ml", 0.85)]),
+        ("Testostérone........\n\n| " + "x" * 1600 + " |\n0.4 ng/ml\n", []),  # too far off
+        (
+            "Hemostase\n\nTaux........\n\nINR........\n\nRatio........\n\nFibrinogène........\n\nBiochimie\n\nCréatinine........\n\nBiochimie\n\n121.0 %\n\n1.0\n\n1.5\n\n3.4 g/L\n\n61.9 umol/L\n\n5.47 mg/L\n\n70 à 100\n\n1.0 à 1.0\n",
+            [("Taux", 121, "%", 0.85), ("INR", 1, None, 0.85), ("Ratio", 1.5, None, 0.85), ("Fibrinogène", 3.4, "g/L", 0.85), ("Créatinine", 61.9, "umol/L", 0.85)],
+        ),
+        ("739.4 /mL\n\n1000 à 2000000\n\nTrès nombreuses\n\nAbsent\n\nLEUCOCYTES........\n\nCELLULES........\n\nCRISTAUX........\n", [("LEUCOCYTES", 739.4, "/mL", 0.8), ("CELLULES", "Très nombreuses", None, 0.78), ("CRISTAUX", "Absent", None, 0.78)]),
+        ("CRISTAUX........\n\nRares\n", [("CRISTAUX", "Rares", None, 0.82)]),
+    ],
+)
+def test_layouts_and_confidences(text, want):
+    assert [(r["name"], r["value"], r["unit"], r["confidence"]) for r in labrows.read_rows(text)] == want
+
+
+def test_enrich_joins_both_readers(spark):
+    docs = spark.createDataFrame([(1, "AST ....... 48 U/L\nAST : 48 U/L\nALT : 32 U/L\nALT : 32 U/L", "x"), (2, "ignored : 3", "x"), (3, None, "x"), (4, "", "x"), (5, "CRP : 5 mg/L", "x")], "k long, t string, section string")
+    secs = spark.createDataFrame([(2, 0, "Biochimie", "CRP : 5 mg/L"), (2, 1, "Conclusion", "Poids : 70 kg"), (5, 0, "Plan", " ")], "k long, section_ord int, heading string, body string")
+    got = [(r["k"], r["ord"], r["name"], r["value"]["n"], r["section"]) for r in labrows.enrich(docs, "k", "t", secs).orderBy("k", "ord").collect()]
+    assert got == [(1, 0, "AST", 48.0, None), (1, 1, "ALT", 32.0, None), (2, 0, "CRP", 5.0, "Biochimie"), (5, 0, "CRP", 5.0, None)]
+    back = labrows.sections_of_lines(labrows.enrich(docs, "k", "t"), "k").where("k = 1").collect()
+    assert [r["body"] for r in back] == ["AST | 48 U/L\nALT : 32 U/L"]
+
+
 def test_dotted_sections():
     r = labrows.read_rows("Hemostase\nINR ..... 1\nHematologie\nNumerationGlobulaire\nGlobules rouges ..... 4.4 T/L\nTestostérone ..... 3 ng/mL")
     assert [(x["section"], x["subsection"]) for x in r] == [("Hemostase", "Hemostase"), ("Hematologie", "NumerationGlobulaire"), ("Hormonologie", "Hormonologie")]
