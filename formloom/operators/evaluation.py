@@ -6,8 +6,12 @@ predicted paths are reported as out of template.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from formloom.functions.text import fold
 
@@ -64,7 +68,7 @@ def metrics(c: DataFrame) -> DataFrame:
     f1 = F.when(p + q == 0, 0.0).otherwise(F.try_divide(2 * p * q, p + q))
     return c.withColumns({
         "precision": F.round(p, 6), "recall": F.round(q, 6), "f1": F.round(f1, 6), "autofill_rate": r("predicted", "eligible"),
-        "false_autofill_rate": r("fp", "predicted"), "value_accuracy": r("correct", "tp"),
+        "false_autofill_rate": r("fp", "predicted"), "value_accuracy": r("correct", "tp"), **({"validation_pass_rate": r("valid", "predicted")} if "valid" in c.columns else {}),
     })
 
 
@@ -97,27 +101,140 @@ def contract(kind_gold: Column, kind: Column, unit_declared: Column, unit: Colum
     ))
 
 
+#: Other words for the labels of two imaging fields; families of template sections.
+LABEL_ALIASES = {"size major nodule mm start atezobev d0": ("lesion cible", "grand axe"), "response at first imaging recist": ("recist", "reponse")}
+SECTION_FAMILIES = {"hematologie": "hematology", "hemostase": "coagulation", "biochimie": "hepatic_biochemistry", "imaging recist": "imaging_recist"}
+
+
+def value_needles(value: Column) -> Column:
+    """How a tagged value may stand in a text: its normal form, for whole numbers also without decimals; blank forms go."""
+    n = value["n"]
+    text = F.when(value["kind"] == "n", n.cast("string")).when(value["kind"] == "b", value["b"].cast("string")).otherwise(value["s"])
+    whole = F.when((value["kind"] == "n") & (n == F.floor(n)) & (F.abs(n) < 1e15), n.cast("bigint").cast("string"))
+    return F.filter(F.array_distinct(F.array_compact(F.array(normal_text(text), normal_text(whole)))), lambda x: x != "")
+
+
+def scalar_type(value: Column) -> Column:
+    """number, text, boolean or null of a tagged value."""
+    return F.when(value.isNull(), "null").when(value["kind"] == "n", F.when(value["n"].isNull(), "null").otherwise("number")).when(value["kind"] == "b", F.when(value["b"].isNull(), "null").otherwise("boolean")).otherwise(F.when(value["s"].isNull(), "null").otherwise("text"))
+
+
+def family_of_section(section: Column) -> Column:
+    out = F.lit(None).cast("string")
+    for k, v in SECTION_FAMILIES.items():
+        out = F.when(normal_text(section) == k, v).otherwise(out)
+    return out
+
+
 def silver_judgments(fields: DataFrame, chunks: DataFrame) -> DataFrame:
     """fields(sample_id, path, label, value, unit) x chunks(sample_id, chunk_id, text) of one sample.
 
-    A chunk that holds label and value is a candidate; the unit decides between several; exactly one
-    is `matched`, none `unmatched`, more `ambiguous`.
+    A chunk that holds the label (or another word for it) and the value is a candidate; the unit decides
+    between several; exactly one is `matched`, none `unmatched`, more `ambiguous`. value is a tagged struct.
+    The chunks of a sample are gathered once, a field judges them inside its own row.
     """
-    f = fields.where("value is not null").withColumns({"_l": normal_text(F.col("label")), "_v": normal_text(F.col("value")), "_u": normal_text(F.col("unit"))})
-    c = chunks.select("sample_id", "chunk_id", normal_text(F.col("text")).alias("_t"))
-    hit = F.contains("_t", F.col("_l")) & F.contains("_t", F.col("_v"))
-    j = f.join(c, (f.sample_id == c.sample_id) & hit, "left").select(f["*"], "chunk_id", "_t")
-    with_unit = F.coalesce((F.col("_u") != "") & F.contains("_t", F.col("_u")), F.lit(False))
-    g = j.groupBy("sample_id", "path").agg(F.count("chunk_id").alias("n"), F.count_if(with_unit & F.col("chunk_id").isNotNull()).alias("nu"), F.min("chunk_id").alias("one"), F.min(F.when(with_unit, F.col("chunk_id"))).alias("one_u"))
-    n = F.when((F.col("n") > 1) & (F.col("nu") > 0), F.col("nu")).otherwise(F.col("n"))
-    one = F.when((F.col("n") > 1) & (F.col("nu") > 0), F.col("one_u")).otherwise(F.col("one"))
-    return g.select("sample_id", "path", F.when(n == 1, "matched").when(n == 0, "unmatched").otherwise("ambiguous").alias("status"), F.when(n == 1, one).alias("chunk_id"))
+    held = chunks.groupBy("sample_id").agg(F.collect_list(F.struct("chunk_id", normal_text(F.col("text")).alias("t"))).alias("_c"))
+    label = normal_text(F.col("label"))
+    other = F.array().cast("array<string>")
+    for k, v in LABEL_ALIASES.items():
+        other = F.when(label == k, F.array(*[F.lit(x) for x in v])).otherwise(other)
+    f = fields.where(scalar_type(F.col("value")) != "null").withColumns({"_l": F.concat(F.array(label), other), "_v": value_needles(F.col("value")), "_u": normal_text(F.col("unit"))})
+    f = f.join(held, "sample_id", "left")
+    hit = F.filter(F.coalesce("_c", F.array().cast("array<struct<chunk_id:string,t:string>>")), lambda c: F.exists("_l", lambda x: F.contains(c["t"], x)) & F.exists("_v", lambda x: F.contains(c["t"], x)))
+    f = f.withColumn("_h", hit)
+    with_unit = F.filter("_h", lambda c: (F.col("_u") != "") & F.contains(c["t"], F.col("_u")))
+    f = f.withColumn("_h", F.when((F.size("_h") > 1) & F.col("_u").isNotNull() & (F.size(with_unit) > 0), with_unit).otherwise(F.col("_h")))
+    n = F.size("_h")
+    return f.select("sample_id", "path", F.when(n == 1, "matched").when(n == 0, "unmatched").otherwise("ambiguous").alias("status"), F.when(n == 1, F.element_at("_h", 1)["chunk_id"]).alias("chunk_id"))
+
+
+def recall_summary(judged: DataFrame, hits: DataFrame, ks: list[int], family: str = "family") -> DataFrame:
+    """judged(sample_id, path, family, status, chunk_id), hits(sample_id, family, rank, chunk_id) -> per sample: recall at each k over the matched
+    fields of supported families, and how many fields are matched, unmatched, ambiguous or of no supported family."""
+    best = hits.groupBy("sample_id", family, "chunk_id").agg(F.min("rank").alias("_rank"))
+    j = judged.join(best, ["sample_id", family, "chunk_id"], "left")
+    supported = F.col(family).isNotNull()
+    counted = supported & (F.col("status") == "matched")
+    return j.groupBy("sample_id").agg(
+        *[F.round(F.avg(F.when(counted, (F.coalesce("_rank", F.lit(10**9)) <= k).cast("double"))), 6).alias(f"recall_{k}") for k in sorted(set(ks))],
+        F.count_if(counted).alias("matched"), F.count_if(supported & (F.col("status") == "unmatched")).alias("unmatched"),
+        F.count_if(supported & (F.col("status") == "ambiguous")).alias("ambiguous"), F.count_if(~supported).alias("unsupported_family"),
+    )
+
+
+_VALUE = T.StructType([T.StructField("kind", T.StringType()), T.StructField("s", T.StringType()), T.StructField("n", T.DoubleType()), T.StructField("b", T.BooleanType())])
+_LEAF = T.StructType([T.StructField("path", T.ArrayType(T.StringType())), T.StructField("value", _VALUE), T.StructField("unit", T.StringType()), T.StructField("declared", T.BooleanType())])
+
+
+@F.pandas_udf(T.ArrayType(_LEAF))
+def flatten_json(templates: pd.Series) -> pd.Series:
+    """The leaves of template objects (objects with `valeur`), in order; null where the text is no object or repeats a key."""
+    def one(t):
+        try:
+            return [_leaf(*x) for x in _leaves(_object(t))] if t is not None else None
+        except ValueError:
+            return None
+
+    return templates.map(one)
+
+
+def _object(text: str) -> dict:
+    def pairs(items: list) -> dict:
+        out: dict = {}
+        for k, v in items:
+            if k in out:
+                raise ValueError(f"repeated key {k!r}")
+            out[k] = v
+        return out
+
+    raw = json.loads(text, object_pairs_hook=pairs)
+    if not isinstance(raw, dict):
+        raise ValueError("an object is expected")
+    return raw
+
+
+def _leaves(node: dict, path: tuple = ()):
+    if "valeur" in node:
+        yield path, node["valeur"], node.get("unité", node.get("unite")), "unité" in node or "unite" in node
+        return
+    for k, v in node.items():
+        if isinstance(v, dict):
+            yield from _leaves(v, (*path, k))
+
+
+def _leaf(path, value, unit, declared) -> dict:
+    kind = "b" if isinstance(value, bool) else "n" if isinstance(value, int | float) else "s"
+    return {
+        "path": list(path), "unit": unit, "declared": declared,
+        "value": {"kind": kind, "s": value if kind == "s" and value is not None else None, "n": float(value) if kind == "n" else None, "b": value if kind == "b" else None},
+    }
 
 
 def passes(report: dict[str, float | None], thresholds: dict[str, float]) -> int:
-    """0 if every named rate reaches its threshold, else 1; an absent rate fails. Rates named `max_...` must not exceed it."""
+    """0 if every named rate reaches its threshold, else 1; an absent rate fails. Rates named `max_...` must not exceed it.
+    2 where the input itself is at fault: a threshold outside 0..1, or nothing evaluated."""
+    if any(not 0 <= t <= 1 for t in thresholds.values()) or not report:
+        return 2
     for name, t in thresholds.items():
         v = report.get(name.removeprefix("max_"))
         if v is None or (v > t if name.startswith("max_") else v < t):
             return 1
     return 0
+
+
+def parse_threshold(text: str) -> tuple[str, float]:
+    """`name=0.95` of a command line."""
+    name, sep, value = text.partition("=")
+    t = float(value) if sep else float("nan")
+    if not name or not 0 <= t <= 1:
+        raise ValueError(f"NAME=THRESHOLD with a threshold in 0..1 is expected: {text!r}")
+    return name, t
+
+
+def shown(rate: float | None) -> str:
+    """A rate in a report: four decimals, or n/a."""
+    return "n/a" if rate is None else f"{rate:.4f}"
+
+
+def summary_text(report: dict[str, float | None]) -> str:
+    return "\n".join(f"{k}: {shown(v)}" for k, v in report.items())

@@ -89,13 +89,19 @@ def lab_family(key: Column, section: Column) -> Column:
 
 
 def line_observations(lines: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Every lab line as an observation, with the first chunk of its document that holds its text."""
-    c = chunks.groupBy("document_id", "chunk_id").agg(F.min("chunk_ord").alias("chunk_ord"), F.first("text").alias("_ct"))
-    base = lines.select("line_id", "document_id", "name", "section", "raw_text", "value", "unit", "confidence")
-    j = base.join(c, (base.document_id == c.document_id) & F.contains(c._ct, base.raw_text), "left").select(base["*"], "chunk_id", "chunk_ord")
-    first = j.groupBy("line_id").agg(F.min_by("chunk_id", F.struct("chunk_ord", "chunk_id")).alias("source_chunk_id"))
+    """Every lab line as an observation, with the first chunk of its document that holds its text.
+
+    Of a chunk indexed again the latest text counts. The chunks of a document are gathered once, so the
+    lines are joined once and choose their chunk inside their own row.
+    """
+    latest = chunks.groupBy("chunk_id").agg(F.max_by(F.struct("document_id", "chunk_ord", "text"), F.struct("indexed_at", "document_id", "chunk_ord")).alias("r")).select("chunk_id", "r.*")
+    held = latest.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("chunk_ord", "chunk_id", "text"))).alias("_chunks"))
+    raw = F.col("raw_text")
+    first = F.try_element_at(F.filter("_chunks", lambda c: F.contains(c["text"], raw)), F.lit(1))["chunk_id"]
     key = canonical_key_of(F.col("name"))
-    return base.join(first, "line_id").select("line_id", "document_id", key.alias("canonical_key"), lab_family(key, F.col("section")).alias("field_family"), "value", "unit", "confidence", "source_chunk_id")
+    return lines.join(held, "document_id", "left").select(
+        "line_id", "document_id", key.alias("canonical_key"), lab_family(key, F.col("section")).alias("field_family"), "value", "unit", "confidence", first.alias("source_chunk_id")
+    )
 
 
 def narrative(docs: DataFrame, key: str, text: str, canonical_key: str, keywords: list[str], negations: tuple[str, ...] = NEGATIONS) -> DataFrame:

@@ -15,7 +15,7 @@ NAMESPACE_URL = "6ba7b8119dad11d180b400c04fd430c8"  # fixed value of the UUID st
 def upsert(chunks: DataFrame) -> DataFrame:
     """The latest row of every chunk_id."""
     cols = [F.col(c) for c in chunks.columns]
-    latest = F.max_by(F.struct(*cols), F.struct("indexed_at", (-F.col("chunk_ord")).alias("o"), "char_start"))
+    latest = F.max_by(F.struct(*cols), F.struct("indexed_at", (-F.col("chunk_ord")).alias("o"), "char_start", "text"))
     return chunks.where("chunk_id is not null").groupBy(F.col("chunk_id").alias("_id")).agg(latest.alias("r")).select("r.*")
 
 

