@@ -104,3 +104,86 @@ def passage(heading: Column, body: Column) -> Column:
     """What is indexed of a section: heading and body, blank ones left out."""
     h, b = F.trim(heading), F.trim(body)
     return F.concat_ws("\n", F.when(h != "", h), F.when(b != "", b))
+
+
+def _spans_in(parts: str, text: str) -> str:
+    """SQL of [(start, end), ...] of parts in a text, each searched from the end of the one before; null where it isn't found."""
+    at = f"locate(p, {text}, acc.at + 1)"
+    return (
+        f"aggregate({parts}, struct(0 as at, cast(array() as array<struct<a:int,b:int>>) as out), (acc, p) -> struct(if({at} > 0, {at} - 1 + length(p), acc.at) as at, "
+        f"array_append(acc.out, struct(cast(if({at} > 0, {at} - 1, null) as int) as a, cast(if({at} > 0, {at} - 1 + length(p), null) as int) as b)) as out), acc -> acc.out)"
+    )
+
+
+_CHUNK = ("chunk_ord", "chunk_id", "text", "field_family", "char_start", "char_end", "chunker", "heading", "content_kind", "verified")
+
+
+def imaging_chunks(docs: DataFrame, key: str, text: str, limit: int = IMAGING_CHARS) -> DataFrame:
+    """Whole trimmed reports, split only above the limit, with their places in the trimmed text; all of the imaging family."""
+    df = docs.select(key, F.trim(F.col(text), F.lit(" \t\r\n")).alias("_t")).where("_t <> ''")
+    df = df.withColumn("_parts", F.when(F.length("_t") <= limit, F.array("_t")).otherwise(_packed(limit))).withColumn("_spans", F.expr(_spans_in("_parts", "_t")))
+    df = df.select(key, F.posexplode(F.arrays_zip("_parts", "_spans")).alias("chunk_ord", "z"))
+    part = F.col("z._parts")
+    return df.select(
+        key, "chunk_ord", chunk_id(F.concat(F.col(key).cast("string"), F.lit(":imaging:"), F.col("chunk_ord").cast("string")), part).alias("chunk_id"), part.alias("text"), F.lit("imaging_recist").alias("field_family"),
+        F.col("z._spans.a").alias("char_start"), F.col("z._spans.b").alias("char_end"), F.lit("imaging").alias("chunker"), F.lit(None).cast("string").alias("heading"), F.lit("imaging_report").alias("content_kind"), F.col("z._spans.a").isNotNull().alias("verified"),
+    )
+
+
+def section_chunks(sections: DataFrame, docs: DataFrame, key: str, full: str, limit: int = IMAGING_CHARS) -> DataFrame:
+    """Every section, in parts of at most `limit`, with places in the full text that are kept only where the text there is the part's.
+
+    A document without sections but with text is one chunk.
+    """
+    w = Window.partitionBy(key).orderBy("section_ord").rowsBetween(Window.unboundedPreceding, -1)
+    s = sections.select(key, "section_ord", "heading", F.trim("body").alias("_t")).where("_t <> ''")
+    s = s.withColumn("_base", F.coalesce(F.sum(F.length("_t") + 2).over(w), F.lit(0)).cast("int"))
+    s = s.withColumn("_parts", F.when(F.length("_t") <= limit, F.array("_t")).otherwise(_packed(limit))).withColumn("_spans", F.expr(_spans_in("_parts", "_t")))
+    s = s.select(key, "section_ord", "heading", "_base", F.posexplode(F.arrays_zip("_parts", "_spans")).alias("part", "z"))
+    j = s.join(docs.select(key, F.col(full).alias("_full")), key)
+    text, start = F.col("z._parts"), F.col("_base") + F.col("z._spans.a")
+    ok = F.coalesce(F.substr(F.col("_full"), start + 1, F.length(text)) == text, F.lit(False))
+    order = Window.partitionBy(key).orderBy("section_ord", "part")
+    ident = F.concat_ws(":", F.col(key).cast("string"), F.col("section_ord").cast("string"), F.col("part").cast("string"))
+    own = j.select(
+        key, (F.row_number().over(order) - 1).cast("int").alias("chunk_ord"), chunk_id(ident, text).alias("chunk_id"), text.alias("text"), F.lit(None).cast("string").alias("field_family"), F.when(ok, start).alias("char_start"),
+        F.when(ok, start + F.length(text)).alias("char_end"), F.lit("sections").alias("chunker"), "heading", F.lit("clinical_section").alias("content_kind"), ok.alias("verified"),
+    )
+    bare = docs.select(key, F.trim(F.col(full)).alias("text")).where("text <> ''").join(s.select(key).distinct(), key, "left_anti")
+    none = F.lit(None)
+    return own.unionByName(bare.select(
+        key, F.lit(0).alias("chunk_ord"), chunk_id(F.col(key).cast("string"), F.col("text")).alias("chunk_id"), "text", none.cast("string").alias("field_family"), none.cast("int").alias("char_start"), none.cast("int").alias("char_end"),
+        F.lit("sections").alias("chunker"), none.cast("string").alias("heading"), F.lit("clinical_fallback").alias("content_kind"), F.lit(False).alias("verified"),
+    ))
+
+
+def chunk_documents(docs: DataFrame, sections: DataFrame, lab_lines: DataFrame, key: str, text: str, strategy: str = "chunking_strategy", limit: int = IMAGING_CHARS) -> DataFrame:
+    """All chunks of all documents, each by its strategy: laboratory rows (paragraphs where there are none), whole imaging
+    reports, sections, else paragraphs. One union of four plans, each over its own documents only."""
+    how = F.col(strategy)
+    of = lambda name: docs.where(how == name)
+    none = F.lit(None)
+    rows = lab_lines.join(of("lab_rows").select(key), key, "left_semi")
+    lab = lab_row_chunks(rows.withColumn("line_id", F.col("ord")), key)
+    lab = lab.select(
+        key, "chunk_ord", "chunk_id", "text", family_of(F.col("text")).alias("field_family"), none.cast("int").alias("char_start"), none.cast("int").alias("char_end"), F.lit("lab_rows").alias("chunker"), F.col("section").alias("heading"),
+        F.lit("structured_lab_rows").alias("content_kind"), F.lit(False).alias("verified"),
+    )
+    without = of("lab_rows").join(rows.where("raw_text is not null").select(key).distinct(), key, "left_anti")
+    plain = docs.where(how.isNull()).unionByName(without)
+    par = paragraphs(plain, key, text)
+    par = par.select(key, "chunk_ord", "chunk_id", "text", "field_family", "char_start", "char_end", F.lit("paragraphs").alias("chunker"), none.cast("string").alias("heading"), F.lit("paragraph").alias("content_kind"), F.col("char_start").isNotNull().alias("verified"))
+    ids = of("sections").select(key)
+    sec = section_chunks(sections.join(ids, key, "left_semi"), of("sections"), key, text, limit)
+    img = imaging_chunks(of("imaging_full"), key, text, limit)
+    return reduce(DataFrame.unionByName, [x.select(key, *_CHUNK) for x in (lab, par, sec, img)])
+
+
+#: Keys of a section's metadata that its chunks set themselves (fixed values).
+RESERVED = ("chunker", "content_kind", "section_heading", "section_index", "part_index", "char_spans_verified")
+
+
+def propagated(own: Column, section: Column) -> Column:
+    """A chunk's metadata map with what its section says besides; reserved keys and keys of its own stay."""
+    mine = F.map_keys(own)
+    return F.map_concat(own, F.map_filter(section, lambda k, v: ~k.isin(*RESERVED) & ~F.array_contains(mine, k)))

@@ -228,3 +228,78 @@ def section_kind(section_ord: Column, heading: Column, body: Column) -> Column:
     stamp = (F.length(t) <= 120) & low.contains("service") & low.contains("radiologie")
     who = low.rlike(r"(?U)\b(?:hôpital|hopital|chu|clinique|centre hospitalier|ap-hp|institut|laboratoire)\b")
     return F.when((section_ord == 0) & (F.length(t) <= 280) & (who | stamp), "admin_section").otherwise("clinical_section")
+
+
+def clean_body(body: Column) -> Column:
+    """A section's text with white space collapsed and noise lines dropped."""
+    return F.array_join(F.filter(F.transform(F.split(body, "\r?\n"), clean_line), lambda x: ~is_noise(x)), "\n")
+
+
+def choose_sections(segments: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+    """(key, section_ord, heading, body, source): a parser's own sections where they hold, else the segmenter's.
+
+    existing(key, section_ord, heading, body, source): layout sections (source `layout...`) are kept if any has
+    text after cleaning, others if at least two of several do.
+    """
+    cleaned = existing.withColumn("body", clean_body(F.col("body")))
+    full = F.trim("body") != ""
+    n = cleaned.groupBy(key).agg(F.count("*").alias("n"), F.count_if(full).alias("m"), F.bool_or(F.col("source").startswith("layout")).alias("layout"))
+    kept = n.where("(layout and m >= 1) or (n > 1 and m >= 2)").select(key)
+    own = cleaned.where(full).join(kept, key, "left_semi").select(key, "section_ord", "heading", "body", "source")
+    rest = segments.join(kept, key, "left_anti").select(key, "section_ord", "heading", "body", F.lit("segmenter").alias("source"))
+    return own.unionByName(rest)
+
+
+def joined_bodies(sections: DataFrame, key: str, sep: str = "\n\n") -> DataFrame:
+    """(key, full_text): the bodies with text, in order, joined."""
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("section_ord", F.trim("body").alias("b")))), lambda x: x["b"])
+    return sections.where(F.trim("body") != "").groupBy(key).agg(F.array_join(parts, sep).alias("full_text"))
+
+
+def layout_sections(items: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(sections, counters) of layout items(key, ord, label, text).
+
+    Titles and section headers begin a section; tables come as their Markdown, pictures without text as a
+    comment; page headers and footers go aside; a section without text drops its heading. counters: per
+    document the tables, texts, pictures and headings, and the texts put aside.
+    """
+    w = Window.partitionBy(key).orderBy("ord")
+    t = F.trim("text")
+    head = F.col("label").isin("title", "section_header")
+    aside = F.col("label").isin("page_header", "page_footer")
+    shown = F.when(F.col("label") == "picture", F.coalesce(F.nullif(t, F.lit("")), F.lit("<!-- figure -->"))).otherwise(t)
+    x = items.withColumn("section_ord", F.sum(head.cast("int")).over(w))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~head & ~aside & (shown != ""), F.struct("ord", shown.alias("t"))))), lambda y: y["t"]), "\n\n")
+    sections = x.groupBy(key, "section_ord").agg(F.max(F.when(head & (t != ""), t)).alias("heading"), body.alias("body")).where("body <> ''").withColumn("source", F.lit("layout_graph"))
+    label = F.col("label")
+    counters = items.groupBy(key).agg(
+        F.count_if((label == "table") & (t != "")).alias("n_tables"), F.count_if(label.isin("text", "list_item") & (t != "")).alias("n_texts"), F.count_if(label == "picture").alias("n_pictures"), F.count_if(head).alias("n_headings"),
+        F.count_if(aside & (t != "")).alias("n_aside"),
+    )
+    return sections, counters
+
+
+def layout_or_markdown(graph: DataFrame, markdown: DataFrame, whole: DataFrame, key: str) -> DataFrame:
+    """Graph sections, unless there are fewer than two and the Markdown split gives more; without either the whole text."""
+    g, m = graph.groupBy(key).agg(F.count("*").alias("g")), markdown.groupBy(key).agg(F.count("*").alias("m"))
+    n = whole.select(key).join(g, key, "left").join(m, key, "left").select(key, F.coalesce("g", F.lit(0)).alias("g"), F.coalesce("m", F.lit(0)).alias("m"))
+    by_md = n.where("g < 2 and m > g").select(key)
+    by_text = n.where("g = 0 and m = 0").select(key)
+    cols = [key, "section_ord", "heading", "body", "source"]
+    a = graph.join(by_md, key, "left_anti").select(*cols)
+    b = markdown.join(by_md, key, "left_semi").withColumn("source", F.lit("layout_markdown")).select(*cols)
+    c = whole.join(by_text, key, "left_semi").select(key, F.lit(0).alias("section_ord"), F.lit(None).cast("string").alias("heading"), F.col("full_text").alias("body"), F.lit("full_text").alias("source"))
+    return a.unionByName(b).unionByName(c.where("trim(body) <> ''"))
+
+
+def smart_route(docs: DataFrame, text: str = "full_text", mime: str = "mime_type", path: str = "source_path", hint: str | None = None) -> DataFrame:
+    """docs with is_pdf, probable_lab, document_type (the hint unless it knows nothing) and chunking_strategy.
+
+    Only PDF documents get a strategy: `lab_rows` for a probable panel, `imaging_full` for an imaging report,
+    else `sections`; texts are chunked by paragraphs.
+    """
+    df = classify(docs, text).drop("type_scores").withColumn("is_pdf", is_pdf(F.col(mime), F.col(path))).withColumn("probable_lab", F.coalesce(probable_lab(F.col(text)), F.lit(False)))
+    if hint:
+        df = df.withColumn("document_type", route(F.col(hint), F.col("document_type")))
+    strategy = F.when(~F.col("is_pdf"), None).when(F.col("probable_lab"), "lab_rows").when(F.col("document_type") == "imaging_report", "imaging_full").otherwise("sections")
+    return df.withColumn("chunking_strategy", strategy)

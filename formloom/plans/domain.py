@@ -212,9 +212,10 @@ def lab_dotted_rows(s, d):
 # --- extraction -----------------------------------------------------------------------------------
 @add(
     "plan_jobs",
-    """WITH f AS (SELECT *, coalesce(extraction_strategy, CASE extraction_family WHEN 'lab_values' THEN 'lab_deterministic' WHEN 'imaging_recist' THEN 'imaging_langextract' WHEN 'narrative_clinical' THEN 'narrative_keywords' ELSE 'none' END) AS strategy, unnest(document_types_allowed) AS document_type FROM field_defs)
-SELECT document_type, strategy, field_family, string_agg(DISTINCT canonical_key, ',' ORDER BY canonical_key) AS canonical_keys, string_agg(DISTINCT field_name, ',' ORDER BY field_name) AS field_names, bool_or(canonical_key = 'RECIST_response' AND strategy = 'imaging_langextract') AS derive_recist
-FROM f WHERE strategy <> 'none' GROUP BY ALL""",
+    """WITH f AS (SELECT *, coalesce(extraction_strategy, CASE extraction_family WHEN 'lab_values' THEN 'lab_deterministic' WHEN 'imaging_recist' THEN 'imaging_langextract' WHEN 'narrative_clinical' THEN 'narrative_keywords' ELSE 'none' END) AS strategy, unnest(document_types_allowed) AS document_type FROM field_defs),
+c AS (SELECT *, CASE WHEN strategy = 'imaging_langextract' THEN CASE canonical_key WHEN 'Size_major_nodule_mm' THEN 'lesion_size_mm' WHEN 'RECIST_response' THEN 'recist_response' WHEN 'lesion_description' THEN 'lesion_description' WHEN 'imaging_conclusion' THEN 'imaging_conclusion' END END AS cls FROM f WHERE strategy <> 'none'),
+g AS (SELECT document_type, strategy, field_family, string_agg(DISTINCT canonical_key, ',' ORDER BY canonical_key) AS canonical_keys, string_agg(DISTINCT field_name, ',' ORDER BY field_name) AS field_names, list(DISTINCT cls) FILTER (cls IS NOT NULL) AS cs, bool_or(canonical_key = 'RECIST_response' AND strategy = 'imaging_langextract') AS derive_recist FROM c GROUP BY ALL)
+SELECT document_type, strategy, field_family, canonical_keys, field_names, array_to_string(list_sort(list_distinct(list_concat(coalesce(cs, []), CASE WHEN derive_recist THEN ['imaging_conclusion'] ELSE [] END))), ',') AS classes, derive_recist FROM g""",
 )
 def plan_jobs(s, d):
     return extraction.plan_jobs(load(s, d, "field_defs"))
