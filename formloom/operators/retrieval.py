@@ -317,3 +317,94 @@ def recall_by_label(hits: DataFrame, queries: DataFrame, labels: DataFrame, ks:
     own = hits.join(labels.select("id", F.col("label").alias("_l")), "id").join(queries, "query_id").where("_l = label")
     found = own.groupBy("query_id").agg(*[F.count_if(F.col("rank") <= k).alias(f"f{k}") for k in ks])
     return q.join(found, "query_id", "left").select("query_id", *[F.round(F.coalesce(F.col(f"f{k}"), F.lit(0)) / F.col("n"), 6).alias(f"recall_{k}") for k in ks])
+
+
+# --- hybrid search ---------------------------------------------------------------------------------------
+#: What a family is searched by where the study says nothing.
+FAMILY_QUERIES = {
+    "hematology": "hématologie hémogramme plaquettes leucocytes", "coagulation": "coagulation INR TP TCA fibrinogène", "hepatic_biochemistry": "bilan hépatique AST ALT GGT bilirubine",
+    "inflammation_biomarkers": "inflammation CRP biomarqueurs", "comorbidities": "antécédents comorbidités traitements",
+    "imaging_recist": "RECIST réponse tumorielle cible non cible progression stabilité scanner TDM IRM mesure lésion millimètres mm",
+    "treatment_lines": "ligne de traitement chimiothérapie immunothérapie protocole cycle dose arrêt efficacité toxicité seconde ligne troisième ligne",
+}
+PASSAGE, QUERY = "passage: ", "query: "
+CANDIDATES = 4
+
+
+def hash_embedding(text: Column, prefix: str = "", dim: int = 32) -> Column:
+    """A deterministic embedding: how often the text's words fall into each of `dim` buckets, of length one.
+
+    A model's embedding is a pandas UDF in its place; dimension and prefixes are the same contract.
+    """
+    words = F.regexp_extract_all(F.lower(F.concat(F.lit(prefix), text)), F.lit("[a-z0-9]+"), F.lit(0))
+    buckets = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int") % dim)
+    counts = _let(buckets, lambda b: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.size(F.filter(b, lambda x: x == i)).cast("double")))
+    scaled = _let(counts, lambda c: _let(F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x)), lambda n: F.when(n > 0, F.transform(c, lambda x: x / n))))
+    return scaled
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once: lambda variables are, expressions inside lambdas are not."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def hybrid(
+    queries: DataFrame, passages: DataFrame, k: int, embed: Callable[[Column, str], Column] = hash_embedding, sparse: bool = True, min_score: float | None = None, rerank_top: bool = False, candidates: int = CANDIDATES,
+) -> DataFrame:
+    """(query_id, id, retrieval_score, retrieval_rank, rerank_score, rerank_rank): dense and BM25 rankings fused, cut and reranked.
+
+    passages: rows of one tenant after `index.filtered`. Each branch gives candidates * k; the least score
+    is asked of the fused ranking before reranking; without a sparse branch the dense score stands.
+    """
+    q = queries.where(~blank(F.col("query")))
+    n = max(k, k * candidates)
+    p = passages.select("id", "text")
+    d = dense(q.select("query_id", embed(F.col("query"), QUERY).alias("embedding")), p.select("id", embed(F.col("text"), PASSAGE).alias("embedding")), n)
+    first = fuse(d, bm25(q, p, n), n) if sparse else d
+    first = first.select("query_id", "id", F.col("score").alias("retrieval_score"), F.col("rank").alias("retrieval_rank"))
+    if min_score is not None:
+        first = first.where(F.col("retrieval_score") >= min_score)
+    if not rerank_top:
+        return first.where(F.col("retrieval_rank") <= k).select("*", F.lit(None).cast("double").alias("rerank_score"), F.lit(None).cast("int").alias("rerank_rank"))
+    again = rerank(first.select("query_id", "id", F.col("retrieval_rank").alias("rank")), q, p, k)
+    return first.join(again.select("query_id", "id", F.col("score").alias("rerank_score"), F.col("rank").alias("rerank_rank")), ["query_id", "id"])
+
+
+def family_queries(families: DataFrame, fields: DataFrame | None = None, study: dict[str, str] | None = None) -> DataFrame:
+    """(field_family, query): the study's query, else the first field's own, else the usual one, else the family's name."""
+    f = F.col("field_family")
+    said, usual = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for k, v in (study or {}).items():
+        said = F.when(f == k, v).otherwise(said)
+    for k, v in FAMILY_QUERIES.items():
+        usual = F.when(f == k, v).otherwise(usual)
+    df = families.select("field_family").distinct()
+    own = F.lit(None).cast("string")
+    if fields is not None and "retrieval_query" in fields.columns:
+        order = "field_ord" if "field_ord" in fields.columns else "field_name"
+        first = fields.where(~blank(F.col("retrieval_query"))).groupBy("field_family").agg(F.min_by("retrieval_query", order).alias("_own"))
+        df, own = df.join(first, "field_family", "left"), F.col("_own")
+    return df.select("field_family", F.coalesce(said, own, usual, F.replace(f, F.lit("_"), F.lit(" "))).alias("query"))
+
+
+def family_search(chunks: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """Per document and family the k chunks, tagged with it or untagged, that hold most words of the family's query.
+
+    queries(field_family, query) are a handful; the search stays within a document, so no ranking is global.
+    """
+    words = F.filter(F.split(F.lower("query"), r"\s+"), lambda w: F.length(w) > 2)
+    asked = [(r["field_family"], r["w"]) for r in queries.select("field_family", words.alias("w")).collect()]
+    fams = F.array(*[F.struct(F.lit(f).alias("f"), F.array(*[F.lit(x) for x in w]).cast("array<string>").alias("w")) for f, w in asked])
+    own = F.filter(fams, lambda x: F.col("field_family").isNull() | (F.col("field_family") == x["f"]))
+    c = chunks.withColumn("_q", F.explode(own)).withColumn("_low", F.lower("text"))
+    score = F.round(F.least(F.lit(1.0), 0.2 + 0.15 * F.size(F.filter("_q.w", lambda w: F.contains(F.col("_low"), w)))), 6)
+    w = Window.partitionBy("document_id", "_q.f").orderBy(F.desc("score"), "chunk_ord", "chunk_id")
+    c = c.withColumn("score", score).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return c.select("document_id", F.col("_q.f").alias("family"), "rank", "chunk_id", "score")
+
+
+def check_documents(chunks: DataFrame, documents: DataFrame) -> None:
+    """An error if chunks name a document that is not among documents."""
+    other = chunks.join(documents.select("document_id"), "document_id", "left_anti").select("chunk_id", "document_id").take(1)
+    if other:
+        raise ValueError(f"chunk {other[0]['chunk_id']} is of document {other[0]['document_id']}, which is not searched")
