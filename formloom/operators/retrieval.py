@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from formloom.functions.text import blank
+from formloom.session import safe_unions
 
 #: Most queries that are broadcast as one block (vectors, texts), and most scored at a time within it.
 QUERY_BLOCK, TEXT_BLOCK, QUERY_ROWS = 10_000, 1_000, 500
@@ -284,6 +285,7 @@ def overlap(queries: DataFrame, passages: DataFrame, k: int) -> DataFrame:
 
 def fuse(a: DataFrame, b: DataFrame, k: int, c: float = RRF_C) -> DataFrame:
     """(query_id, id, score, rank): reciprocal rank fusion of two rankings."""
+    safe_unions(a.sparkSession)
     both = a.select("query_id", "id", "rank").unionAll(b.select("query_id", "id", "rank"))
     s = both.groupBy("query_id", "id").agg(F.round(F.sum(1.0 / (c + F.col("rank"))), 9).alias("score"))
     return top_k(s, ["query_id"], "score", "id", k)

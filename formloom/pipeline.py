@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from formloom.operators import chunking, etl, extraction, labrows, parsing, rules
-from formloom.session import bounded, cut
+from formloom.session import bounded, cut, safe_unions
 
 TAGGED, UNTAGGED = 0.88, 0.78
 _KEYS = ["document_id", "patient_id", "study_id"]
@@ -111,6 +111,7 @@ def run_pipeline(
     if policy not in etl.POLICIES:
         raise ValueError(f"policy must be one of {etl.POLICIES}")
     spark = docs.sparkSession
+    safe_unions(spark)
     parsed, sections, lab = parse(docs, existing, hint)
     chunks = cut(chunking.chunk_documents(parsed, sections, lab, "document_id", "full_text"), "chunks")
     small = cut(parsed.drop("full_text"), "parsed")  # all later stages need of a document

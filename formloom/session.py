@@ -27,6 +27,7 @@ def local_session(cpus: str | int = "*", name: str = "formloom", **conf: str) ->
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
     spark = b.getOrCreate()
+    safe_unions(spark)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -59,6 +60,7 @@ _CUTS: list[str] = []
 def cut(df: DataFrame, name: str = "t") -> DataFrame:
     """Write df into the shared folder and read it back: a cut lineage that outlives executors."""
     spark = df.sparkSession
+    safe_unions(spark)
     path = f"{shared_dir(spark).rstrip('/')}/formloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _CUTS.append(path)
@@ -75,5 +77,12 @@ def drop_cuts(spark: SparkSession) -> int:
     return n
 
 
+def safe_unions(spark: SparkSession) -> None:
+    """Spark 4.1 takes a union to be partitioned like its children, also where AQE coalesces these differently at
+    run time; a group above the union then comes out in two rows. A union is not to be trusted with that."""
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    safe_unions(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
