@@ -210,10 +210,10 @@ def _leaf(path, value, unit, declared) -> dict:
     }
 
 
-def passes(report: dict[str, float | None], thresholds: dict[str, float]) -> int:
+def passes(report: dict[str, float | None] | None, thresholds: dict[str, float]) -> int:
     """0 if every named rate reaches its threshold, else 1; an absent rate fails. Rates named `max_...` must not exceed it.
     2 where the input itself is at fault: a threshold outside 0..1, or nothing evaluated."""
-    if any(not 0 <= t <= 1 for t in thresholds.values()) or not report:
+    if any(not 0 <= t <= 1 for t in thresholds.values()) or report is None:
         return 2
     for name, t in thresholds.items():
         v = report.get(name.removeprefix("max_"))
