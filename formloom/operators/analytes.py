@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from formloom.functions.text import blank, fold
 from formloom.operators.units import name_part
-from formloom.session import cut
+from formloom.session import BROADCAST_ROWS, bounded, cut
 
 
 def plain_name(c: Column) -> Column:
@@ -58,21 +58,23 @@ def resolve(lines: DataFrame, analyte_ref: DataFrame, out: str = "analyte") -> D
         .withColumn("fs", _spaced(F.col("f")))
         .dropDuplicates(["canonical_key", "fs"])
     )
-    # the list is fixed reference data (a few hundred forms), so every lookup broadcasts it
+    # the list's size is checked before the lookups broadcast what is made of it
+    small = F.broadcast if forms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else (lambda df: df)
     typed = F.when(~blank(F.col("name")), F.col("name")).when(~blank(F.col("canonical_name")), F.col("canonical_name"))
     rows = lines.withColumn("_t", typed).withColumn("_p", F.when(~blank(F.col("name")), name_part(F.col("raw_text"))))
     names = rows.select(F.explode(F.array(F.struct(F.col("_t").alias("t"), F.lit(True).alias("typed")), F.struct(F.col("_p").alias("t"), F.lit(False).alias("typed")))).alias("x")).select("x.*")
     names = names.where(~blank(F.col("t"))).groupBy("t").agg(F.max("typed").alias("typed")).withColumn("f", plain_name(F.col("t"))).withColumn("fs", _spaced(F.col("f")))
-    names = cut(names.where(F.length("fs").between(1, 120)), "names")  # read by every lookup below
+    # read by every lookup below; written before it is filtered, else the plain form would be made of every line for the filter
+    names = cut(names, "names").where("fs <> ''")
     by = []
     for cost, expr in ((0, lambda c: c), (1, lambda c: F.array_join(F.sort_array(F.split(c, " ")), " ")), (2, _looks)):
         k = forms.select("canonical_key", expr(F.col("fs")).alias("k")).distinct()
-        by.append(names.withColumn("k", expr(F.col("fs"))).join(F.broadcast(k), "k").select("t", "canonical_key", F.lit(cost).alias("cost")))
+        by.append(names.withColumn("k", expr(F.col("fs"))).join(small(k), "k").select("t", "canonical_key", F.lit(cost).alias("cost")))
     begin = F.array_join(F.transform(F.split(F.col("fs"), " "), lambda x: F.substring(x, 1, 2)), " ")
     short = names.where(F.col("f").rlike(r"[a-z0-9]{2,}\.(?:\s|$)")).withColumn("k", begin)
     parts = F.filter(F.split(F.regexp_replace(F.col("f"), r"[^a-z0-9. ]", " "), r"\s+"), lambda x: x != "")
     by.append(
-        short.join(F.broadcast(forms.select("canonical_key", F.col("fs").alias("gs"), begin.alias("k"))), "k")
+        short.join(small(forms.select("canonical_key", F.col("fs").alias("gs"), begin.alias("k"))), "k")
         .where(F.forall(F.zip_with(parts, F.split("gs", " "), lambda a, b: F.coalesce(F.when(a.endswith("."), b.startswith(F.replace(a, F.lit("."), F.lit("")))).otherwise(a == b), F.lit(False))), lambda ok: ok))
         .select("t", "canonical_key", F.lit(3).alias("cost"))
     )
@@ -95,7 +97,7 @@ def _near(names: DataFrame, forms: DataFrame) -> DataFrame:
     variants = lambda c: F.array_distinct(F.flatten(F.transform(_deletions(F.substring(c, 1, PREFIX)), _deletions)))
     f = forms.where("length(fs) >= 4").select("canonical_key", F.col("fs").alias("gs"), F.explode(variants(F.col("fs"))).alias("v"))
     n = names.select("t", "fs", F.explode(variants(F.col("fs"))).alias("v"))
-    pairs = n.join(F.broadcast(f), "v").where("abs(length(fs) - length(gs)) <= 2").select("t", "fs", "gs", "canonical_key").distinct()
+    pairs = n.join(bounded(f), "v").where("abs(length(fs) - length(gs)) <= 2").select("t", "fs", "gs", "canonical_key").distinct()
     pairs = cut(pairs, "pairs")  # else the tests below are pushed under the distinct and run once per shared variant
     letters = lambda c: F.array_join(F.sort_array(F.split(F.col(c), "")), "")
     lev = F.levenshtein("fs", "gs")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formloom.functions.text import fold
+from formloom.session import bounded, cut
 
 #: Blanks used between thousands and before units.
 BLANKS = " \u00a0\u202f\u2009"
@@ -109,7 +110,7 @@ def unit_sizes(unit_ref: DataFrame) -> DataFrame:
     Where a code reads two ways (g/L: mass or 10^9 cells), the case of the entry's own code decides.
     """
     a = alias_table(unit_ref.sparkSession)
-    u = unit_ref.withColumn("ukey", unit_key(F.col("unit_code"))).join(F.broadcast(a), "ukey")  # a: fixed, under 100 rows
+    u = unit_ref.withColumn("ukey", unit_key(F.col("unit_code"))).join(F.broadcast(a), "ukey")  # a: built above, under 100 rows
     return u.where(~((F.col("ukey") == "g/l") & ((F.col("dim") == "count") != F.col("unit_code").startswith("G")))).drop("ukey")
 
 
@@ -119,9 +120,12 @@ def text_unit(text: Column, number: Column, by_number_only: bool) -> Column:
     hits = F.regexp_extract_all(text, F.lit(f"(?i){PAIR}"), F.lit(0))
     split = F.transform(hits, lambda x: F.struct(F.regexp_extract(x, _PAIR_NUMBER, 0).alias("n"), x.alias("x")))
     pairs = F.transform(split, lambda p: F.struct(_double(F.translate(p["n"], DIGITS_LIKE, DIGITS)).alias("n"), F.regexp_replace(F.substr(p["x"], F.length(p["n"]) + 1), f"^[{BLANKS}\t]", "").alias("u")))
-    same = F.filter(pairs, lambda p: F.abs(p["n"] - number) <= F.abs(number) * 1e-9)
-    hit = F.try_element_at(same, F.lit(1))["u"]
-    return hit if by_number_only else F.coalesce(hit, F.try_element_at(pairs, F.lit(1))["u"])
+
+    def choose(found: Column) -> Column:
+        hit = F.try_element_at(F.filter(found, lambda p: F.abs(p["n"] - number) <= F.abs(number) * 1e-9), F.lit(1))["u"]
+        return hit if by_number_only else F.coalesce(hit, F.try_element_at(found, F.lit(1))["u"])
+
+    return F.element_at(F.transform(F.array(pairs), choose), 1)  # a lambda's variable is computed once
 
 
 def with_units(rows: DataFrame, key: str, number: str, unit: str, unit_ref: DataFrame) -> DataFrame:
@@ -129,7 +133,7 @@ def with_units(rows: DataFrame, key: str, number: str, unit: str, unit_ref: Data
 
     unit: stated unit text or null. A null unit takes the analyte's common one as default (`unit_from`).
     """
-    sizes = unit_sizes(unit_ref)
+    sizes = cut(unit_sizes(unit_ref), "unit-sizes")  # read by three lookups
     a = alias_table(rows.sparkSession)
     common = sizes.where("is_common").select(F.col("canonical_key").alias("_ck"), F.col("unit_code").alias("common_unit"))
     # several codes of one key may have one size: the common one first, then by name
@@ -151,7 +155,7 @@ def with_units(rows: DataFrame, key: str, number: str, unit: str, unit_ref: Data
     return (
         rows.withColumn("_u", unit_key(F.col(unit)))
         # both sides: a fixed reference of a few hundred rows
-        .join(F.broadcast(spelled), (F.col(key) == F.col("_rk")) & (F.col("_u") == F.col("_ru")), "left")
+        .join(bounded(spelled), (F.col(key) == F.col("_rk")) & (F.col("_u") == F.col("_ru")), "left")
         .join(F.broadcast(common), F.col(key) == F.col("_ck"), "left")
         .withColumn("same_as_common", F.col("unit_code") == F.col("common_unit"))
         .withColumn("unit_from", F.when(F.col("unit_code").isNotNull(), "stated").when(F.col(unit).isNull() & F.col("common_unit").isNotNull(), "default"))
