@@ -12,6 +12,8 @@ Edge cases: null, blank, `-`, `?`, `n/a` and `NA` units count as not stated; a b
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,10 +77,22 @@ def unit_key(c: Column) -> Column:
     """One spelling for all spellings of a unit; case only decides between molar M and metre m."""
     raw = F.trim(F.regexp_replace(c, f"[{BLANKS}]", " "))
     molar = F.when(raw.rlike(r"^[mnpµμ]M$"), F.concat(F.translate(F.substring(raw, 1, 1), "µμ", "uu"), F.lit("mol/l")))
-    k = F.regexp_replace(fold(F.replace(raw, F.lit("³"), F.lit("3"))), r"\s+", "")
+    plain = F.replace(fold(F.replace(raw, F.lit("³"), F.lit("3"))), F.lit(" "), F.lit(""))
+    k = F.regexp_replace(plain, r"\s+", "")
     for a, b in SPELLINGS:
         k = F.regexp_replace(k, a, b)
-    return F.coalesce(molar, k)
+    # most units are spelled as the rules would leave them: no pattern is tried on these
+    return F.coalesce(molar, F.when(plain.isin(*_settled()), plain).otherwise(k))
+
+
+def _settled() -> list[str]:
+    """The known spellings that the rules leave as they are."""
+    def ruled(k: str) -> str:
+        for a, b in SPELLINGS:
+            k = re.sub(a, b.replace("$", "\\"), k)
+        return k
+
+    return [k for k, _, _ in _aliases() if ruled(k) == k]
 
 
 def stated(c: Column) -> Column:
@@ -87,8 +101,7 @@ def stated(c: Column) -> Column:
     return F.when(~F.lower(t).isin("", "-", "?", "n/a", "na", "--", "."), t)
 
 
-def alias_table(spark: SparkSession) -> DataFrame:
-    """(ukey, dim, size): what each normalised spelling measures. Built by rule from prefixes and volumes."""
+def _aliases() -> list[tuple[str, str, float]]:
     prefix = {"": 1.0, "k": 1e3, "m": 1e-3, "u": 1e-6, "n": 1e-9, "p": 1e-12}
     volume = {"l": 1.0, "dl": 1e-1, "ml": 1e-3}
     rows = [
@@ -100,8 +113,12 @@ def alias_table(spark: SparkSession) -> DataFrame:
     rows += [(f"10^{e}/{v}", "count", float(f"1e{e}") * f) for e in (3, 6, 9, 12) for v, f in (("l", 1.0), ("mm3", 1e6))]
     rows += [("g/l", "count", 1e9), ("t/l", "count", 1e12), ("/mm3", "count", 1e6)]
     rows += [("mm", "m", 1e-3), ("cm", "m", 1e-2), ("dm", "m", 1e-1)]
-    rows += [("%", "%", 1.0), ("l/l", "%", 100.0), ("1", "1", 1.0), ("mmol/mol", "mmol/mol", 1.0), ("pg", "pg", 1.0), ("fl", "fl", 1.0), ("s", "s", 1.0), ("mm/h", "mm/h", 1.0)]
-    return spark.createDataFrame(rows, "ukey string, dim string, size double")
+    return rows + [("%", "%", 1.0), ("l/l", "%", 100.0), ("1", "1", 1.0), ("mmol/mol", "mmol/mol", 1.0), ("pg", "pg", 1.0), ("fl", "fl", 1.0), ("s", "s", 1.0), ("mm/h", "mm/h", 1.0)]
+
+
+def alias_table(spark: SparkSession) -> DataFrame:
+    """(ukey, dim, size): what each normalised spelling measures. Built by rule from prefixes and volumes."""
+    return spark.createDataFrame(_aliases(), "ukey string, dim string, size double")
 
 
 def unit_sizes(unit_ref: DataFrame) -> DataFrame:
