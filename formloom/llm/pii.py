@@ -187,9 +187,11 @@ def normalise(text: str) -> Tape:
                     break
                 t = new
             t = t.rewrite(_BARE_DOT, lambda m: ".")
-    return t.rewrite(_SAID, _in_digits) if _SPOKEN.search(low) else t
+    return t.rewrite(_SAID, _in_digits) if any(w in low for w in _TELLING) and _SPOKEN.search(low) else t
 
 
+#: Parts of number words of which any identifier said in words has one.
+_TELLING = ("zéro", "zero", "deux", "trois", "quatre", "cinq", "sept", "huit", "neuf", "douze", "treize", "quinze", "seize", "trente", "soixante", "double", "two", "three", "four", "five", "seven", "eight", "nine", "eleven", "twelve", "teen", "ty-", "ty ")
 _SPOKEN = re.compile(rf"(?<![\w\-])(?:{_NUMBER_WORD})[ \-]+(?:et[ \-]+)?(?:(?:{_NUMBER_WORD})\b|\d)|\d[ \-]+(?:{_NUMBER_WORD})[ \-]+\d")
 
 
@@ -224,6 +226,11 @@ _TOK = re.compile(
 _ARTICLE = frozenset(("Le", "LE", "La", "LA"))
 _TITLE_END = re.compile(rf"(?:\b{TITLES}\.?|(?<![\w.])M\.)\s+$")
 _CUE_END = re.compile(rf"(?<!\w){CUES}\s*[:|]?\s*$")
+#: The last words of titles and cues, to tell quickly where none can stand.
+_LAST = frozenset(
+    """dr docteur docteure doctor pr prof professeur professor mme mlle madame mademoiselle monsieur mm m mr mrs ms miss sir nurse sister patient patiente signé signée signe signee signed by nom naissance d'usage prénom prénoms prenom prenoms name
+    surname forename contact confiance kin de of pour for par copie copies traitant practitioner infirmier infirmière infirmiere demander à a au to with conjoint conjointe""".split()
+)
 #: What only a person does or is, after one name and after two (grammar, fixed values).
 _LIVES = re.compile(r"\s(?:habite|lives at|souhaite recevoir|viendra chercher|demeurant)\b")
 _AFTER = re.compile(
@@ -332,7 +339,9 @@ def _persons(s: str, busy: bytearray, names: Names) -> Iterator[tuple[int, int]]
             return
         before = s[max(0, toks[0][0] - 32) : toks[0][0]]
         given = any(k == "g" for _, _, k, _ in toks)
-        title = bool(_TITLE_END.search(before, max(0, len(before) - 18)))
+        words = before.rstrip(" \n\t:|.,").rsplit(None, 1)
+        cued = bool(words) and words[-1].lower().lstrip("(.-;:|,") in _LAST
+        title = cued and bool(_TITLE_END.search(before, max(0, len(before) - 18)))
         if toks[0][3] == "M." and not title:
             toks.pop(0)  # Monsieur
             title = True
@@ -341,12 +350,13 @@ def _persons(s: str, busy: bytearray, names: Names) -> Iterator[tuple[int, int]]
         if not title and (_EPONYM_BEFORE.search(before) or _EPONYM_AFTER.match(s, toks[-1][1])):
             return
         told = _LIVES.match(s, toks[-1][1]) or sum(k == "w" for _, _, k, _ in toks) > 1 and _AFTER.match(s, toks[-1][1])
-        if given or title or told or _CUE_END.search(before) or _CELL_END.search(before):
+        cue = cued and bool(_CUE_END.search(before))
+        if given or title or told or cue or "|" in before and _CELL_END.search(before):
             # a lone initial at the end belongs to the run; an article before the first word does where a name follows
             a, b = toks[0][0], toks[-1][1]
-            if toks[0][2] == "p" and not title and not given and not _CUE_END.search(before):
+            if toks[0][2] == "p" and not title and not given and not cue:
                 a = toks[1][0]
-            elif toks[0][2] == "p" and given and not title and not _CUE_END.search(before) and toks[0][3].islower():
+            elif toks[0][2] == "p" and given and not title and not cue and toks[0][3].islower():
                 a = toks[1][0]
             if toks[-1][2] == "i" and len(toks) == 1:
                 return
@@ -392,7 +402,20 @@ def _persons(s: str, busy: bytearray, names: Names) -> Iterator[tuple[int, int]]
 
 # --- what the corpus tells of words ---------------------------------------------------------------------
 _WORD = re.compile(r"(?<![\w@.+\-])[^\W\d_]{2,}(?!\w|@|\+|\s?[\[(@]|\sarobase)")
-_OPEN = re.compile(r"(?:^|\n\s*\n\s*|(?<![Pp]rof)(?<!octeur)(?<!Copie)(?<!Mme)(?<!Mlle)(?<=[a-zà-ÿ0-9)%]{2})[.!?] )([A-ZÀ-ÖØ-Þ][a-zà-ÿ]+)(?= ?[a-zà-ÿ'’(:])")
+#: Words that open sentences and paragraphs; what may stand before a sentence that a word opens.
+_OPEN = re.compile(r"[.!?] ([A-ZÀ-ÖØ-Þ][a-zà-ÿ]+)(?= ?[a-zà-ÿ'’(:])")
+_ENDS = re.compile(r"(?<![Pp]rof)(?<!octeur)(?<!Copie)(?<!Mme)(?<!Mlle)(?<=[a-zà-ÿ0-9)%]{2})[.!?]")
+_PARAGRAPH = re.compile(r"(?:\A|\n\s*\n\s*)([A-ZÀ-ÖØ-Þ][a-zà-ÿ]+)(?= ?[a-zà-ÿ'’(:])")
+
+
+def opening_words(text: str) -> Iterator[str]:
+    for m in _OPEN.finditer(text):
+        if _ENDS.match(text, m.start()):
+            yield m[1].lower()
+    for w in _PARAGRAPH.findall(text):
+        yield w.lower()
+
+
 _NAME = r"[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ'’]+(?:-[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+)*"
 _UPPER = r"[A-ZÀ-ÖØ-Þ][A-ZÀ-ÖØ-Þ'’\-]+"
 #: Two words of which one may be given, the other a surname; what must stand before them.
@@ -432,7 +455,7 @@ def word_statistics(texts: DataFrame, col: str = "text") -> DataFrame:
                 if not t:
                     continue
                 words.update(_WORD.findall(t))
-                opens.update(w.lower() for w in _OPEN.findall(t))
+                opens.update(opening_words(t))
                 for m in _TWO.finditer(t):
                     if _SURE.search(t, max(0, m.start() - 24), m.start()):
                         first, last = (m[1], m[2]) if m[1] else (m[4], m[3])
