@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -63,10 +64,22 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     safe_unions(spark)
     path = f"{shared_dir(spark).rstrip('/')}/formloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if not _CUTS:
+        atexit.register(_drop_at_exit)
     _CUTS.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _drop_at_exit() -> None:
+    """What was cut and not dropped goes with the driver, if the session still stands then."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _CUTS:
+        try:
+            drop_cuts(spark)
+        except Exception:  # the JVM went first
+            pass
+
+
 def drop_cuts(spark: SparkSession) -> int:
     """Deletes the tables `cut` wrote in this session, once nothing reads them any more; returns how many."""
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
