@@ -42,15 +42,20 @@ STRETCH = 40
 #: Bits a letter costs on average above which the corpus does not know how its neighbours go together;
 #: most function words a filler sentence may have, and its fewest words.
 STRANGE_BITS, FEW_FUNCTION, FILLER_SIZE = 3.3, 0.2, 4
+#: Bits a letter of a whole document costs below which not half of it can be strange, and the share of different
+#: words above which not half of it can repeat itself: such documents need no look at their sentences.
+PLAIN_BITS, VARIED = 2.85, 0.62
+#: Roles without one of which no sentence is an error, a notice or announced filler.
+TELLING = ("trouble", "script", "browser", "sign", "filler")
 
 #: Word beginnings by role, folded (fixed values). A final `$` wants the word to end there.
 ROLES = {
     "trouble": (
-        "erreur", "echec", "echoue", "introuvable", "indisponible", "injoignable", "inaccessible", "illisible$", "expire", "refuse", "interdit", "suspendu", "depasse", "surcharge", "impossible d", "n'existe plus", "n'existe pas",
+        "erreur", "echec", "echoue", "introuvable", "indisponible", "injoignable", "inaccessible", "illisible$", "expire", "refuse", "interdit", "acces est suspendu", "acces suspendu", "compte suspendu", "depasse", "surcharge", "impossible d", "n'existe plus", "n'existe pas",
         "ne repond", "n'a pas repondu", "mal passe", "trop de requetes", "n'avez pas", "absente$", "en maintenance", "hors service", "impossible$", "pas pris en charge", "obsolete",
         "error", "fail", "not found", "unavailable", "unreachable", "timed out", "timeout", "time-out", "denied", "forbidden", "unauthori", "overload", "no longer exists", "does not exist", "could not be", "couldn't", "cannot be", "unable to",
         "did not answer", "did not respond", "went wrong", "too many requests", "do not have permission", "missing", "exception", "traceback", "under maintenance", "scheduled maintenance", "crash", "null pointer", "condition that prevented", "not supported", "outdated",
-        "fehler", "nicht gefunden", "nicht verfugbar", "abgelaufen", "verweigert", "fehlgeschlagen", "no encontrad", "no disponible", "caducad", "denegad", "errore", "non trovat", "non disponibile", "scadut", "negat", "fout", "niet gevonden",
+        "fehler", "nicht gefunden", "nicht verfugbar", "abgelaufen", "verweigert", "fehlgeschlagen", "no encontrad", "no disponible", "caducad", "denegad", "errore", "non trovat", "non disponibile", "scadut", "accesso negat", "fout", "niet gevonden",
     ),
     "system": (
         "page$", "pages$", "serveur", "session", "requete", "url$", "http", "portail", "site$", "navigateur", "fichier", "connexion", "identifiant", "compte$", "base de donnees", "document", "ressource", "archive", "conversion", "chargement", "passerelle",
@@ -73,6 +78,9 @@ ROLES = {
         "aktivier", "zulassen", "erlaub", "benotig", "deaktivier", "habilit", "permit", "necesit", "abilit", "consent", "richied", "inschakel",
     ),
     "reference": ("incident", "ticket", "request id", "ray id", "trace id", "reference :", "ref$", "code erreur", "error code", "code incident", "correlation"),
+    "sign": (
+        "en maintenance", "maintenance", "bad gateway", "stack trace", "oups$", "oops$", "http", "\"status", "\"statut", "\"error", "\"erreur", "\"message", "\"code", "<code", "<libelle", "<erreur", "<error", "<?xml", "file \"", "null",
+    ),
     "filler": (
         "lorem", "ipsum", "placeholder", "texte de remplissage", "remplissage", "contenu fictif", "texte fictif", "faux texte", "exemple de texte", "exemple de contenu", "texte d'exemple", "contenu d'exemple", "inserer ici", "inserez", "a inserer",
         "votre titre", "votre texte", "votre description", "ici votre", "sera remplace", "maquette", "ne pas diffuser",
@@ -194,6 +202,7 @@ _AUTO: list = []
 _SENT = re.compile(r"[^.!?\n]+(?:(?:[.!?]+(?!\s|$))[^.!?\n]*)*(?:[.!?]+|\n|$)|[.!?\n]")
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"\w+")
+_DIGIT = re.compile(r"\d")
 _MARK = re.compile(r"\[[^\[\]\n]*\]|<\|[^|\n]*\|>|\{[^{}\n]*\}|\b(?:illisibles?|illegible|inaudible)\b")
 
 
@@ -223,7 +232,7 @@ def repeated(low: str) -> list[tuple[int, int]]:
 
 def filler_like(sentence: str, model: np.ndarray | None) -> bool:
     """Whether a folded sentence is filler by its statistics: it repeats a word or two, or is in no language."""
-    if re.search(r"\d", sentence) or _MARK.search(sentence):
+    if _DIGIT.search(sentence) or _MARK.search(sentence):
         return False
     words = [w for w in _WORD.findall(sentence) if w.isascii()]
     n = len(words)
@@ -245,19 +254,34 @@ def stretches(low: str) -> Iterator[tuple[int, int]]:
         yield a, b
 
 
-def roles_in(low: str) -> list[tuple[int, str]]:
-    """(position, role) of every word beginning the automaton knows."""
-    if not _AUTO:
-        _AUTO.append(automaton(ROLES))
-    out = []
-    for end, (n, tags) in _AUTO[0].iter(low):
+def _hits(auto: ahocorasick.Automaton, low: str) -> Iterator[tuple[int, str]]:
+    for end, (n, tags) in auto.iter(low):
         a = end - n + 1
-        if a and low[a - 1].isalnum():
+        if a and low[a - 1].isalnum() and low[a].isalnum():
             continue
         whole = end + 1 == len(low) or not low[end + 1].isalnum()
-        out += [(a, role) for role, exact in tags if whole or not exact]
-    out.sort()
-    return out
+        for role, exact in tags:
+            if whole or not exact:
+                yield a, role
+
+
+def _automata() -> list[ahocorasick.Automaton]:
+    """All roles, and the telling ones alone."""
+    if not _AUTO:
+        _AUTO.extend((automaton(ROLES), automaton({k: ROLES[k] for k in TELLING})))
+    return _AUTO
+
+
+def roles_in(low: str) -> list[tuple[int, str]]:
+    """(position, role) of every word beginning the automaton knows."""
+    return sorted(_hits(_automata()[0], low))
+
+
+def suspected(low: str, model: np.ndarray | None) -> tuple[bool, bool, bool]:
+    """(says so, repeats itself, is strange): what a folded text may be as a whole; where all are false it is no residue."""
+    words = low.split()
+    t = triples(low) if model is not None else ()
+    return next(_hits(_automata()[1], low), None) is not None, len(set(words)) <= VARIED * len(words), len(t) > 0 and float(model[t].mean()) > PLAIN_BITS
 
 
 def kind_of(sentence: str, roles: set[str]) -> str | None:
@@ -266,7 +290,7 @@ def kind_of(sentence: str, roles: set[str]) -> str | None:
         return "filler"
     if "script" in roles and roles & {"permission", "system", "advice", "trouble"} or "browser" in roles and roles & {"permission", "trouble"}:
         return "script"
-    if PLAIN_ERROR.search(sentence) or STRUCTURE.search(sentence):
+    if roles & {"trouble", "sign"} and (PLAIN_ERROR.search(sentence) or STRUCTURE.search(sentence)):
         return "error"
     if "trouble" in roles and ("system" in roles or "advice" in roles and "reference" in roles or CODE.search(sentence)):
         return "error"
@@ -281,8 +305,11 @@ def judge(text: str | None, coverage: float = COVERAGE, model: np.ndarray | None
     if SLOT.search(text) or SLOT_ANYCASE.search(text):
         return "slot", 1.0
     low = folded(text)
-    hits = roles_in(low)
-    runs = repeated(low)
+    says, repeats, odd = suspected(low, model)
+    if not (says or repeats or odd):
+        return None, 0.0
+    hits = roles_in(low) if says else []
+    runs = repeated(low) if repeats else []
     covered = {"error": 0, "script": 0, "filler": 0}
     side: list[int] = []  # sizes of sentences that only go with others
     total = k = r = 0
@@ -304,13 +331,13 @@ def judge(text: str | None, coverage: float = COVERAGE, model: np.ndarray | None
         menu = "|" in s or "·" in s
         kind = None
         if not menu:
-            kind = "filler" if again and again * 2 >= size else kind_of(s, roles) or ("filler" if filler_like(s, model) else None)
+            kind = "filler" if again and again * 2 >= size else (kind_of(s, roles) if roles else None) or ("filler" if (repeats or odd) and filler_like(s, model) else None)
         if kind in ("error", "script") and MENTION.search(s):
             kind = None
         if kind:
             covered[kind] += size
             total += size
-        elif not menu and (size > 4 or re.search(r"\d", s)) and not s.strip().startswith("version"):  # all else: headings and menu entries
+        elif not menu and (size > 4 or _DIGIT.search(s)) and not s.strip().startswith("version"):  # all else: headings and menu entries
             total += size
             if roles & {"advice", "reference", "trouble", "permission"} and not MENTION.search(s):
                 side.append(size)
