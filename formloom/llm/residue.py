@@ -45,6 +45,8 @@ STRANGE_BITS, FEW_FUNCTION, FILLER_SIZE = 3.3, 0.2, 4
 #: Bits a letter of a whole document costs below which not half of it can be strange, and the share of different
 #: words above which not half of it can repeat itself: such documents need no look at their sentences.
 PLAIN_BITS, VARIED = 2.85, 0.62
+#: The same for the share of function words, and for the share of text far from figures.
+SPOKEN, UNFIGURED = 0.3, 0.3
 #: Roles without one of which no sentence is an error, a notice or announced filler.
 TELLING = ("trouble", "script", "browser", "sign", "filler")
 
@@ -202,6 +204,8 @@ _AUTO: list = []
 _SENT = re.compile(r"[^.!?\n]+(?:(?:[.!?]+(?!\s|$))[^.!?\n]*)*(?:[.!?]+|\n|$)|[.!?\n]")
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"\w+")
+_ENDS = re.compile(r"[.!?\n]+")
+_NO_FIGURES = re.compile(r"[^.!?\n\d]{12,}")
 _DIGIT = re.compile(r"\d")
 _MARK = re.compile(r"\[[^\[\]\n]*\]|<\|[^|\n]*\|>|\{[^{}\n]*\}|\b(?:illisibles?|illegible|inaudible)\b")
 
@@ -230,6 +234,12 @@ def repeated(low: str) -> list[tuple[int, int]]:
     return merged
 
 
+def stutters(sentence: str) -> bool:
+    """Whether a sentence has few different words."""
+    words = sentence.split()
+    return len(words) >= 3 and len(set(words)) * 3 <= len(words)
+
+
 def filler_like(sentence: str, model: np.ndarray | None) -> bool:
     """Whether a folded sentence is filler by its statistics: it repeats a word or two, or is in no language."""
     if _DIGIT.search(sentence) or _MARK.search(sentence):
@@ -280,8 +290,14 @@ def roles_in(low: str) -> list[tuple[int, str]]:
 def suspected(low: str, model: np.ndarray | None) -> tuple[bool, bool, bool]:
     """(says so, repeats itself, is strange): what a folded text may be as a whole; where all are false it is no residue."""
     words = low.split()
-    t = triples(low) if model is not None else ()
-    return next(_hits(_automata()[1], low), None) is not None, len(set(words)) <= VARIED * len(words), len(t) > 0 and float(model[t].mean()) > PLAIN_BITS
+    says = next(_hits(_automata()[1], low), None) is not None
+    repeats = len(set(words)) <= VARIED * len(words)
+    odd = False
+    # strange are sentences without figures and almost without function words
+    if model is not None and sum(map(FUNCTION.__contains__, words)) < SPOKEN * len(words) and sum(map(len, _NO_FIGURES.findall(low))) > UNFIGURED * len(low):
+        t = triples(low)
+        odd = len(t) > 0 and float(model[t].mean()) > PLAIN_BITS
+    return says, repeats, odd
 
 
 def kind_of(sentence: str, roles: set[str]) -> str | None:
@@ -310,6 +326,8 @@ def judge(text: str | None, coverage: float = COVERAGE, model: np.ndarray | None
         return None, 0.0
     hits = roles_in(low) if says else []
     runs = repeated(low) if repeats else []
+    if not (says or odd or runs or any(map(stutters, _ENDS.split(low)))):
+        return None, 0.0
     covered = {"error": 0, "script": 0, "filler": 0}
     side: list[int] = []  # sizes of sentences that only go with others
     total = k = r = 0
