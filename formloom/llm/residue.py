@@ -112,12 +112,17 @@ FUNCTION = frozenset(
 ) - frozenset(("et", "in", "a", "ut", "ad", "se", "d", "non", "e", "te", "do"))
 
 _NAME = r"[A-Za-zÀ-ÿ_][\w .\-À-ÿ]{0,60}?"
+#: Every alternative begins with its own sign, so a text without these signs is passed over quickly.
 SLOT = re.compile(
-    rf"\{{\{{\s*[#/^>]?\s*{_NAME}\s*\}}\}}|<%[=\-]?\s*{_NAME}\s*%>|[$#]\{{\s*{_NAME}\s*\}}|\[\[\s*{_NAME}\s*\]\]|<<\s*{_NAME}\s*>>|«[A-Za-z_][\w.]*»"
-    rf"|@@\w+@@|(?<!\w)__[A-Za-z]\w*?__(?!\w)|%[A-Z][A-Z0-9_]*%|<(?:ins[ée]rer|insert)\s[^<>\n]{{1,60}}>|\{{\d{{1,2}}\}}"
-    r"|\[[A-ZÀ-Ý]{2}[A-ZÀ-Ý _]*\]|\bXX/XX/XX(?:XX)?\b|\bJJ/MM/AAAA\b|\bDD/MM/YYYY\b"
+    rf"\{{\{{\s*[#/^>]?\s*{_NAME}\s*\}}\}}|<%[=\-]?\s*{_NAME}\s*%>|\$\{{\s*{_NAME}\s*\}}|#\{{\s*{_NAME}\s*\}}|\[\[\s*{_NAME}\s*\]\]|<<\s*{_NAME}\s*>>|«[A-Za-z_][\w.]*»"
+    rf"|@@\w+@@|__(?<!\w__)[A-Za-z]\w*?__(?!\w)|%[A-Z][A-Z0-9_]*%|<(?i:ins[ée]rer|insert)\s[^<>\n]{{1,60}}>|\{{\d{{1,2}}\}}"
+    r"|\[[A-ZÀ-Ý]{2}[A-ZÀ-Ý _]*\]|\[(?i:[àa] compl[ée]ter|to be completed|[àa] renseigner|to be filled(?: in)?)\]"
 )
-SLOT_ANYCASE = re.compile(r"<(?:ins[ée]rer|insert)\s[^<>\n]{1,60}>|\[(?:[àa] compl[ée]ter|to be completed|[àa] renseigner|to be filled(?: in)?)\]", re.I)
+SLOT_DATE = re.compile(r"\b(?:XX/XX/XX(?:XX)?|JJ/MM/AAAA|DD/MM/YYYY)\b")
+
+
+def open_slot(text: str) -> bool:
+    return bool(SLOT.search(text)) or ("XX/XX" in text or "JJ/MM" in text or "DD/MM" in text) and bool(SLOT_DATE.search(text))
 
 
 class _Fold(dict):
@@ -318,7 +323,7 @@ def judge(text: str | None, coverage: float = COVERAGE, model: np.ndarray | None
     if text is None or not text.strip():
         return None, 0.0
     text = _UNSEEN.sub("", text)
-    if SLOT.search(text) or SLOT_ANYCASE.search(text):
+    if open_slot(text):
         return "slot", 1.0
     low = folded(text)
     says, repeats, odd = suspected(low, model)
