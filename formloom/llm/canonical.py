@@ -114,8 +114,7 @@ def close_pairs(names: DataFrame, forms: DataFrame, hint) -> DataFrame:
         .where(F.abs("sh") + F.abs(d - F.col("sh")) <= F.col("k"))
         .where(F.col("s0") + F.col("sh") >= 0)
         .select("nkey", "flen", "i", F.expr("substring(nkey, s0 + sh + 1, sl)").alias("seg"))
-        .distinct()
-    )
+    )  # equal probes of one text need no shuffle of their own: the pairs they lead to are made distinct
     pairs = probes.join(hint(segs), ["flen", "i", "seg"]).select("nkey", "ref_key", "fkey", "k").distinct()
 
     def letters(c: str) -> Column:
