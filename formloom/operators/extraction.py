@@ -221,11 +221,6 @@ def dedup_observations(obs: DataFrame, by: list[str], order: list[str]) -> DataF
     return obs.groupBy(*[F.col(b).alias(f"_k{i}") for i, b in enumerate(by)]).agg(first.alias("r")).select("r.*")
 
 
-def rank_first(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
 # --- running jobs -----------------------------------------------------------------------------------------
 OBSERVATION = (
     "document_id string, chunk_id string, field_family string, canonical_key string, raw_value string, value struct<kind:string,s:string,n:double,b:boolean>, unit string, confidence double, "

@@ -304,23 +304,6 @@ def best_per_family(hits: DataFrame) -> DataFrame:
     return hits.groupBy("document_id", "family").agg(F.max("score").alias("best_score"))
 
 
-def recall_at(hits: DataFrame, relevant: DataFrame, ks: list[int]) -> DataFrame:
-    """(query_id, recall_1, ...): share of the relevant ids among the first k; queries without hits have 0."""
-    n = relevant.groupBy("query_id").agg(F.count("*").alias("n"))
-    found = hits.join(relevant, ["query_id", "id"], "left_semi").groupBy("query_id").agg(*[F.count_if(F.col("rank") <= k).alias(f"f{k}") for k in ks])
-    return n.join(found, "query_id", "left").select("query_id", *[F.round(F.coalesce(F.col(f"f{k}"), F.lit(0)) / F.col("n"), 6).alias(f"recall_{k}") for k in ks])
-
-
-def recall_by_label(hits: DataFrame, queries: DataFrame, labels: DataFrame, ks: list[int]) -> DataFrame:
-    """(query_id, recall_1, ...): share of the rows with the query's label among the first k. The rows of a label are
-    counted, never paired with its queries, so a label may hold any share of them."""
-    n = labels.groupBy("label").agg(F.count("*").alias("n"))
-    q = queries.join(n, "label")
-    own = hits.join(labels.select("id", F.col("label").alias("_l")), "id").join(queries, "query_id").where("_l = label")
-    found = own.groupBy("query_id").agg(*[F.count_if(F.col("rank") <= k).alias(f"f{k}") for k in ks])
-    return q.join(found, "query_id", "left").select("query_id", *[F.round(F.coalesce(F.col(f"f{k}"), F.lit(0)) / F.col("n"), 6).alias(f"recall_{k}") for k in ks])
-
-
 # --- hybrid search ---------------------------------------------------------------------------------------
 #: What a family is searched by where the study says nothing.
 FAMILY_QUERIES = {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from formloom import pipeline
+from formloom import pipeline, runner
 from formloom.operators import chunking, etl, evaluation, extraction, index, labrows, parsing, retrieval, rules
 from formloom.plans import domain
 from formloom.plans.registry import Registry
@@ -652,6 +652,29 @@ def evaluation_report(s, d):
     return m.withColumn("sample", F.coalesce("target_column", F.lit("micro"))).withColumn("shown", F.format_string("%.4f", F.col("precision"))).drop("target_column")
 
 
+_LAST = "arg_max(struct_pack(v := value, u := unit), (ord, line_id))"
+_LEAVES = lambda cond, n: f"{n} AS (SELECT document_id, coalesce(section, 'Uncategorized') AS s1, coalesce(subsection, section, 'Uncategorized') AS s2, name, {_LAST} AS r FROM lab_lines WHERE name IS NOT NULL AND {cond} GROUP BY ALL)"
+
+
+@add(
+    "evaluation_run",
+    f"""WITH {_LEAVES('true', 'g0')}, {_LEAVES('confidence >= 0.9', 'p0')}, both_in AS (SELECT DISTINCT document_id FROM p0),
+g AS (SELECT * FROM g0 WHERE document_id IN (FROM both_in)),
+j AS (SELECT g.document_id, g.r.v AS gv, g.r.u AS gu, (g.r.v.kind = 'n' OR g.r.u IS NOT NULL) AS gd, p0.r.v AS pv, p0.r.u AS pu, (g.r.v.kind = 'n' AND g.r.v.n IS NOT NULL) OR (g.r.v.kind = 's' AND g.r.v.s IS NOT NULL) AS has_g, coalesce((p0.r.v.kind = 'n' AND p0.r.v.n IS NOT NULL) OR (p0.r.v.kind = 's' AND p0.r.v.s IS NOT NULL), false) AS has_p
+  FROM g LEFT JOIN p0 USING (document_id, s1, s2, name)),
+o AS (SELECT *, coalesce(has_g, false) AS hg, CASE WHEN gv.kind = 's' AND pv.kind = 's' THEN {domain._NT('pv.s')} = {domain._NT('gv.s')} WHEN gv.kind = 'n' AND pv.kind = 'n' THEN abs(pv.n - gv.n) <= greatest(1e-6 * greatest(abs(pv.n), abs(gv.n)), 1e-6) ELSE false END AS same,
+  NOT coalesce(gd, false) OR gu IS NULL OR ({domain._CU('gu')}) IS NOT DISTINCT FROM ({domain._CU('pu')}) AS same_unit FROM j)
+SELECT document_id AS sample_id, count(*) AS eligible, count(*) FILTER (hg AND has_p) AS tp, count(*) FILTER (NOT hg AND has_p) AS fp, count(*) FILTER (hg AND NOT has_p) AS fn, count(*) FILTER (hg AND has_p AND same AND same_unit) AS correct FROM o GROUP BY ROLLUP (document_id)""",
+)
+def evaluation_run(s, d):
+    """Templates of the surer lines against those of all lines, through the runner: counts of every sample and over all."""
+    lines = load(s, d, "lab_lines")
+    t = lambda df: cut(etl.lab_template(df).withColumnRenamed("document_id", "sample_id"), "templates")
+    gold = t(lines)
+    ev = runner.evaluate(gold, gold, t(lines.where("confidence >= 0.9")), partial=True)
+    return ev.metrics.select("sample_id", "eligible", "tp", "fp", "fn", "correct")
+
+
 @add("pending_documents", "SELECT document_id FROM parsed_documents WHERE document_id NOT IN (SELECT document_id FROM observations WHERE document_id IS NOT NULL)")
 def pending_documents(s, d):
     return files.pending(load(s, d, "parsed_documents").select("document_id"), load(s, d, "observations"), "document_id")

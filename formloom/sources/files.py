@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pathlib import Path
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,8 +99,14 @@ def read_documents(spark: SparkSession, path: str, parse: Callable[[bytes], dict
     parse(content) reads a PDF (`parse_pdf` with its options, or any callable giving text); without one PDF
     files come out without text. A missing folder is an error; a broken file is a document without text.
     """
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    if not raw.limit(1).count():
+    try:
+        raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        some = raw.select("path").limit(1).count()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        some = 0
+    if not some:
         raise FileNotFoundError(path)
     df = raw.select(
         F.concat(F.lit("doc-"), F.substring(F.sha2("content", 256), 1, 16)).alias("document_id"), F.col("path").alias("source_path"),
