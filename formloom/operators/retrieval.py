@@ -228,12 +228,6 @@ def _dense_block(rows: list, vectors: DataFrame, k: int, kind: str, idk: str) ->
     return vectors.select("id", "embedding").mapInPandas(run, f"query_id {kind}, id {idk}, score double")
 
 
-def terms(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf): words of letters and digits, lower case, summed before the shuffle."""
-    t = df.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))).alias("term"))
-    return t.groupBy(key, "term").agg(F.count("*").alias("tf"))
-
-
 def _terms_once(text: str) -> dict:
     return dict.fromkeys(_TERM.findall(text.lower()), 1.0)
 

@@ -129,20 +129,20 @@ def test_dotted_rows(text, rows):
     "text, want",
     [
         # one report a layout: (name, result, unit, confidence)
-        ("Biochimie\nAST ........\n28.5 U/L\nInf. à 55\nPage 1\n", [("AST", 28.5, "U/L", 0.9)]),
+        ("Biochimie\nLipase ........\n31 U/L\nInf. à 60\nPage 3\n", [("Lipase", 31, "U/L", 0.9)]),
         (
-            "Hematologie NumerationGlobulaire Globules rouges........ 4.4 10^6/mm3 4.2 à 5.4 FormuleLeucocytaire Neutrophiles........ 25% : 1652 /mm3 Hemostase INR........ 0.9 1.0 à 1.0 Biochimie Transaminase ASAT (S.G.O.T)........ 28.5 U/L 5 à 34",
-            [("Globules rouges", 4.4, "10^6/mm3", 0.9), ("Neutrophiles", 25, "%", 0.9), ("INR", 0.9, None, 0.82), ("Transaminase ASAT (S.G.O.T)", 28.5, "U/L", 0.9)],
+            "Hematologie NumerationGlobulaire Hématies........ 4.9 10^6/mm3 4.1 à 5.6 FormuleLeucocytaire Lymphocytes........ 31% : 2040 /mm3 Hemostase TCA........ 1.1 0.8 à 1.2 Biochimie Phosphatase (P.A.L)........ 71.5 U/L 30 à 120",
+            [("Hématies", 4.9, "10^6/mm3", 0.9), ("Lymphocytes", 31, "%", 0.9), ("TCA", 1.1, None, 0.82), ("Phosphatase (P.A.L)", 71.5, "U/L", 0.9)],
         ),
-        ("Hormonologie\n| T.S.H........ | 2.1 mUI/L | 0.35 à 4.94 |\n| 25 OH vitamine D........ | 24.2 ng/mL | 30 à 60 |", [("T.S.H.", 2.1, "mUI/L", 0.9), ("25 OH vitamine D", 24.2, "ng/mL", 0.9)]),
-        ("Testostérone........\n\nInf à 0.8 ng/ml\n\n0.3 à 1\n\nParathormone........\n\n2.3 pmol/L\n", [("Testostérone", "Inf à 0.8", "ng/ml", 0.85), ("Parathormone", 2.3, "pmol/L", 0.9)]),
+        ("Hormonologie\n| A.C.T.H........ | 6.3 pmol/L | 1.6 à 13.9 |\n| 25 OH vitamine D........ | 41 nmol/L | 75 à 150 |", [("A.C.T.H.", 6.3, "pmol/L", 0.9), ("25 OH vitamine D", 41, "nmol/L", 0.9)]),
+        ("Estradiol........\n\nInf à 19 pg/ml\n\n20 à 90\n\nCortisol........\n\n310 nmol/L\n", [("Estradiol", "Inf à 19", "pg/ml", 0.85), ("Cortisol", 310, "nmol/L", 0.9)]),
         ("Testostérone........\n\n## Valeurs usuelles\n\n| Fille | Garçon |\n\nsup à 0.4 ng/ml\n", [("Testostérone", "Sup à 0.4", "ng/ml", 0.85)]),
         ("Testostérone........\n\n| " + "x" * 1600 + " |\n0.4 ng/ml\n", []),  # too far off
         (
-            "Hemostase\n\nTaux........\n\nINR........\n\nRatio........\n\nFibrinogène........\n\nBiochimie\n\nCréatinine........\n\nBiochimie\n\n121.0 %\n\n1.0\n\n1.5\n\n3.4 g/L\n\n61.9 umol/L\n\n5.47 mg/L\n\n70 à 100\n\n1.0 à 1.0\n",
-            [("Taux", 121, "%", 0.85), ("INR", 1, None, 0.85), ("Ratio", 1.5, None, 0.85), ("Fibrinogène", 3.4, "g/L", 0.85), ("Créatinine", 61.9, "umol/L", 0.85)],
+            "Hemostase\n\nFacteur V........\n\nTCA........\n\nRapport........\n\nD-dimères........\n\nBiochimie\n\nUrate........\n\nBiochimie\n\n88.0 %\n\n2.0\n\n1.7\n\n0.4 g/L\n\n302 umol/L\n\n50.8 mg/L\n\n60 à 120\n\n1.0 à 2.0\n",
+            [("Facteur V", 88, "%", 0.85), ("TCA", 2, None, 0.85), ("Rapport", 1.7, None, 0.85), ("D-dimères", 0.4, "g/L", 0.85), ("Urate", 302, "umol/L", 0.85)],
         ),
-        ("739.4 /mL\n\n1000 à 2000000\n\nTrès nombreuses\n\nAbsent\n\nLEUCOCYTES........\n\nCELLULES........\n\nCRISTAUX........\n", [("LEUCOCYTES", 739.4, "/mL", 0.8), ("CELLULES", "Très nombreuses", None, 0.78), ("CRISTAUX", "Absent", None, 0.78)]),
+        ("412 /mL\n\n500 à 9000\n\nQuelques\n\nAbsent\n\nHEMATIES........\n\nGERMES........\n\nLEVURES........\n", [("HEMATIES", 412, "/mL", 0.8), ("GERMES", "Quelques", None, 0.78), ("LEVURES", "Absent", None, 0.78)]),
         ("CRISTAUX........\n\nRares\n", [("CRISTAUX", "Rares", None, 0.82)]),
     ],
 )
